@@ -209,3 +209,12 @@ SELECT id, batch, {iso_ny('observed_at')} AS generated_at,
        strftime({ny('observed_at')}, '%Y%m%d_%H') AS report_hour
 FROM posts"""),
 }
+
+# The same results reached through the stream, the raw CSV table and the ORC table.
+SQL["stream_viral_latest"] = SQL["viral_posts_latest"]
+SQL["stream_ingest_counts"] = _q("SELECT count(*) AS total_processed, "
+                                 "CAST(count_if(is_viral) AS BIGINT) AS viral_detected FROM posts")
+SQL["stream_windowed_topics"] = SQL["windowed_topics"]
+SQL["raw_posts_topic_view"] = SQL["topic_leaderboard"]
+SQL["raw_posts_viral_view"] = SQL["viral_posts_view"]
+SQL["hourly_stats_orc"] = SQL["hourly_rollup"]

@@ -186,3 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "analytics_report": q_analytics_report,
     "report_hour": q_report_hour,
 }
+
+from trend_engine.plans.stored import STORED  # noqa: E402
+
+QUERIES.update(STORED)
