@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trend_engine.functions.scoring import is_viral, viral_score
-from trend_engine.functions.timefmt import epoch_micros_ntz, iso_utc
+from trend_engine.functions.scoring import is_viral_sql, sql_literal, viral_score_sql
+from trend_engine.functions.timefmt import ISO_MICROS
 from trend_engine.operators.latest import latest_per_key
-from trend_engine.schema import VIRAL_FIELDS
+from trend_engine.schema import TABLE_SCHEMAS, VIRAL_FIELDS
 
 # Fixed values of the derivation: poll size, polls per id group, age step.
 POLL_SIZE = 30
@@ -22,43 +22,42 @@ AGE_STEP_S = 1800    # listed position p is (p mod 24) half-hours old
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _event_keys(events: DataFrame) -> DataFrame:
-    us = epoch_micros_ntz("ts")
-    return events.select(
-        F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value"), F.col("props"),
-        F.expr(f"CAST((event_id div {IDS_GROUP}) * {POLL_SIZE} + event_id % {POLL_SIZE} AS STRING)").alias("id"),
-        F.expr(f"CAST(event_id div {POLL_SIZE} + 1 AS INT)").alias("batch"),
-        F.expr(f"CAST(event_id % {POLL_SIZE} AS INT)").alias("list_rank"),
-        (us / F.lit(1e6)).alias("obs_s"),
-        F.timestamp_micros(us).alias("observed_at"),
-    ).withColumn(
-        "unix_time",
-        F.floor(F.col("obs_s")).cast("bigint")
-        - F.expr(f"CAST(event_id % {POLL_SIZE} % 24 AS BIGINT)") * F.lit(AGE_STEP_S),
-    )
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Epoch seconds of the (zone-less) event time read as UTC, independent of the session zone.
+_OBS_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+_KEYS = [
+    f"CAST((event_id div {IDS_GROUP}) * {POLL_SIZE} + event_id % {POLL_SIZE} AS STRING) AS id",
+    f"CAST(event_id div {POLL_SIZE} + 1 AS INT) AS batch",
+    f"CAST(event_id % {POLL_SIZE} AS INT) AS list_rank",
+    f"{_OBS_US} / 1e6D AS obs_s",
+    f"timestamp_micros({_OBS_US}) AS observed_at",
+    f"CAST(floor({_OBS_US} / 1e6D) AS BIGINT) - CAST(event_id % {POLL_SIZE} % 24 AS BIGINT) * {AGE_STEP_S}"
+    " AS unix_time",
+]
 
 
 def posts_from_events(events: DataFrame) -> DataFrame:
     """One row per post observation, with the message fields plus ``list_rank`` and ``observed_at``."""
-    k = _event_keys(events)
-    scored = k.select(
-        "id",
-        F.concat(F.col("event_type"), F.lit(" post "), F.col("event_id").cast("string")).alias("title"),
-        F.floor(F.col("value") * F.lit(10)).cast("int").alias("score"),
-        F.get_json_object("props", "$.k").cast("int").alias("comments"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("author"),
-        F.lit("events").alias("source"),
-        F.col("event_type").alias("subreddit"),
-        "obs_s", "observed_at", "unix_time", "batch", "list_rank",
+    base = events.selectExpr(
+        *_KEYS,
+        "concat(event_type, ' post ', CAST(event_id AS STRING)) AS title",
+        "CAST(floor(value * 10) AS INT) AS score",
+        "CAST(get_json_object(props, '$.k') AS INT) AS comments",
+        "concat('user_', CAST(user_id AS STRING)) AS author",
+        "'events' AS source",
+        "event_type AS subreddit",
     )
-    scored = scored.withColumn(
-        "viral_score", viral_score("score", "comments", "unix_time", "obs_s"))
-    return scored.select(
+    scored = base.selectExpr(
+        "*", f"{viral_score_sql('score', 'comments', 'unix_time', 'obs_s')} AS viral_score")
+    return scored.selectExpr(
         "id", "title", "score", "comments", "author", "source", "subreddit", "viral_score",
-        is_viral("viral_score").alias("is_viral"), iso_utc("observed_at").alias("timestamp"),
+        f"{is_viral_sql('viral_score')} AS is_viral",
+        f"date_format(observed_at, {sql_literal(ISO_MICROS)}) AS timestamp",
         "unix_time", "batch", "list_rank", "observed_at")
 
 
@@ -68,23 +67,17 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_items_from_events(events: DataFrame) -> DataFrame:
     """Raw ranked-list items (before normalising), with missing fields and non-stories mixed in."""
-    k = _event_keys(events)
-    eid = F.col("event_id")
-    return k.select(
-        F.col("id").cast("long").alias("id"),
-        F.when(F.col("event_type") == "error", F.lit("job")).otherwise(F.lit("story")).alias("type"),
-        F.when(eid % 17 == 0, F.lit("")).otherwise(
-            F.concat(F.col("event_type"), F.lit(" post "), eid.cast("string"))).alias("title"),
-        F.when(eid % 11 == 0, F.lit(None)).otherwise(
-            F.floor(F.col("value") * F.lit(10)).cast("int")).alias("score"),
-        F.when(eid % 13 == 0, F.lit(None)).otherwise(
-            F.get_json_object("props", "$.k").cast("int")).alias("descendants"),
-        F.when(eid % 19 == 0, F.lit(None)).otherwise(
-            F.concat(F.lit("user_"), F.col("user_id").cast("string"))).alias("by"),
-        F.lit(None).cast("string").alias("url"),
-        F.col("unix_time").alias("time"),
-        "batch", "list_rank", "observed_at",
-    )
+    return events.selectExpr(
+        f"(event_id div {IDS_GROUP}) * {POLL_SIZE} + event_id % {POLL_SIZE} AS id",
+        "CASE WHEN event_type = 'error' THEN 'job' ELSE 'story' END AS type",
+        "CASE WHEN event_id % 17 = 0 THEN '' ELSE concat(event_type, ' post ', CAST(event_id AS STRING)) END AS title",
+        "CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(floor(value * 10) AS INT) END AS score",
+        "CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(get_json_object(props, '$.k') AS INT) END AS descendants",
+        "CASE WHEN event_id % 19 = 0 THEN NULL ELSE concat('user_', CAST(user_id AS STRING)) END AS by",
+        "CAST(NULL AS STRING) AS url",
+        *[k.replace(" AS unix_time", " AS time") for k in _KEYS if not k.endswith(("AS id", "AS obs_s"))],
+    ).select("id", "type", "title", "score", "descendants", "by", "url", "time", "batch", "list_rank",
+             "observed_at")
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +86,9 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving_from_posts(p: DataFrame) -> DataFrame:
     """Latest viral observation of each id (what the keyed viral-post store holds)."""
-    viral = p.filter(F.col("is_viral")).select(
+    viral = p.filter("is_viral").selectExpr(
         "id", "title", "score", "comments", "viral_score", "source", "author",
-        F.col("observed_at").alias("timestamp"), F.col("batch").alias("batch_num"))
+        "observed_at AS timestamp", "batch AS batch_num")
     return latest_per_key(viral, ["id"], ["batch_num"], VIRAL_FIELDS[1:])
 
 
@@ -107,7 +100,7 @@ def stats_from_posts(p: DataFrame) -> DataFrame:
     """Counter rows as the store holds them after the last poll (each poll = one micro-batch,
     epochs numbered from 0, so the last epoch id is the last batch minus one)."""
     from trend_engine.operators.aggregates import batch_counts, last_poll_counts, stat_rows
-    per_poll = batch_counts(p, by=["batch"]).withColumn("epoch", F.col("batch") - 1)
+    per_poll = batch_counts(p, by=["batch"]).selectExpr("*", "batch - 1 AS epoch")
     return stat_rows(last_poll_counts(per_poll, order="batch"))
 
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:

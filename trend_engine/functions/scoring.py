@@ -1,4 +1,8 @@
-"""Column functions for scoring, flags, tiers, previews and topics (all JVM built-ins)."""
+"""Column functions for scoring, flags, tiers, previews and topics (all JVM built-ins).
+
+Each function takes column names (or SQL expressions) and returns one ``Column`` built from a
+single SQL expression, so building a query costs one gateway call per column.
+"""
 
 from __future__ import annotations
 
@@ -24,69 +28,89 @@ TIER_LABELS = [
 LOWEST_LABEL = "🌱 TRENDING"
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def sql_literal(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def age_hours(unix_time, now_seconds) -> Column:
+def age_hours_sql(unix_time: str, now_seconds: str) -> str:
     """Age in hours from a unix time to ``now`` (seconds as double), floored at 1 hour."""
-    return F.greatest(F.lit(1.0), (_c(now_seconds) - _c(unix_time).cast("double")) / F.lit(3600.0))
+    return f"greatest(1.0D, ({now_seconds} - CAST({unix_time} AS DOUBLE)) / 3600.0D)"
 
 
-def viral_score(score, comments, unix_time, now_seconds) -> Column:
+def viral_score_sql(score: str, comments: str, unix_time: str, now_seconds: str) -> str:
     """(score + 2·comments) / (max(1, age_h) + 2) ** 1.5, rounded to 2 places.
 
     Inputs are widened to double first so int scores near 2^31 cannot overflow under ANSI.
     """
-    engagement = _c(score).cast("double") + _c(comments).cast("double") * F.lit(2.0)
-    decay = F.pow(age_hours(unix_time, now_seconds) + F.lit(2.0), F.lit(1.5))
-    return F.round(engagement / decay, 2)
+    engagement = f"(CAST({score} AS DOUBLE) + CAST({comments} AS DOUBLE) * 2.0D)"
+    decay = f"pow({age_hours_sql(unix_time, now_seconds)} + 2.0D, 1.5D)"
+    return f"round({engagement} / {decay}, 2)"
+
 
+def viral_score(score: str, comments: str, unix_time: str, now_seconds: str) -> Column:
+    return F.expr(viral_score_sql(score, comments, unix_time, now_seconds))
 
-def is_viral(score_col) -> Column:
+
+def is_viral_sql(score: str) -> str:
     """Viral flag on the rounded score, strictly above the threshold."""
-    return _c(score_col) > F.lit(VIRAL_THRESHOLD)
+    return f"({score} > {VIRAL_THRESHOLD})"
+
 
+def is_viral(score: str) -> Column:
+    return F.expr(is_viral_sql(score))
 
-def _ladder(score_col, bounds, lowest) -> Column:
-    col = _c(score_col)
-    expr = None
-    for bound, name in bounds:
-        cond = col >= F.lit(bound)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr.otherwise(F.lit(lowest))
 
+def _ladder_sql(score: str, bounds, lowest: str) -> str:
+    whens = " ".join(f"WHEN {score} >= {b} THEN {sql_literal(name)}" for b, name in bounds)
+    return f"CASE {whens} ELSE {sql_literal(lowest)} END"
 
-def tier(score_col) -> Column:
+
+def tier_sql(score: str) -> str:
     """Tier category; null scores fall to the lowest tier."""
-    return _ladder(score_col, TIERS, LOWEST_TIER)
+    return _ladder_sql(score, TIERS, LOWEST_TIER)
+
+
+def tier(score: str) -> Column:
+    return F.expr(tier_sql(score))
 
 
-def tier_label(score_col) -> Column:
+def tier_label(score: str) -> Column:
     """Short board label with the same bounds as ``tier``."""
-    return _ladder(score_col, TIER_LABELS, LOWEST_LABEL)
+    return F.expr(_ladder_sql(score, TIER_LABELS, LOWEST_LABEL))
 
 
-def preview(title, n: int) -> Column:
+def preview(title: str, n: int) -> Column:
     """First ``n`` characters of a title."""
-    return F.substring(_c(title), 1, n)
+    return F.expr(f"substring({title}, 1, {int(n)})")
 
 
-def topic_bucket(post_id) -> Column:
+def topic_bucket_sql(post_id: str) -> str:
     """Deterministic 0..5 bucket from the md5 of the id (first 15 hex digits)."""
-    hex15 = F.substring(F.md5(_c(post_id).cast("string")), 1, 15)
-    return F.pmod(F.conv(hex15, 16, 10).cast("bigint"), F.lit(len(TOPICS)))
+    return f"pmod(CAST(conv(substring(md5(CAST({post_id} AS STRING)), 1, 15), 16, 10) AS BIGINT), {len(TOPICS)})"
 
 
-def assign_topic(post_id, given=None) -> Column:
+def assign_topic_sql(post_id: str, given: str | None = None) -> str:
     """The given topic when present, else the hashed bucket's topic."""
-    hashed = F.element_at(F.array(*[F.lit(t) for t in TOPICS]), (topic_bucket(post_id) + 1).cast("int"))
+    names = ", ".join(sql_literal(t) for t in TOPICS)
+    hashed = f"element_at(array({names}), CAST({topic_bucket_sql(post_id)} + 1 AS INT))"
     if given is None:
         return hashed
-    g = _c(given)
-    return F.when(g.isNotNull() & (g != F.lit("")), g).otherwise(hashed)
+    return f"CASE WHEN {given} IS NOT NULL AND {given} <> '' THEN {given} ELSE {hashed} END"
 
 
-def cents(score_col) -> Column:
+def assign_topic(post_id: str, given: str | None = None) -> Column:
+    return F.expr(assign_topic_sql(post_id, given))
+
+
+def topic_bucket(post_id: str) -> Column:
+    return F.expr(topic_bucket_sql(post_id))
+
+
+def cents_sql(score: str) -> str:
     """A two-decimal score as exact integer cents."""
-    return F.round(_c(score_col) * F.lit(100.0)).cast("bigint")
+    return f"CAST(round({score} * 100D) AS BIGINT)"
+
+
+def cents(score: str) -> Column:
+    return F.expr(cents_sql(score))

@@ -102,7 +102,7 @@ def poll_summary(df: DataFrame) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("sent"),
                    F.count_if(F.col("is_viral")).cast("bigint").alias("viral"),
                    first.alias("_first"))
-              .select("batch", "sent", "viral", preview(F.col("_first.title"), 60).alias("top_title"),
+              .select("batch", "sent", "viral", preview("_first.title", 60).alias("top_title"),
                       F.col("_first.score").alias("top_score")))
 
 

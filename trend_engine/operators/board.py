@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trend_engine.functions.scoring import cents, tier_label
+from trend_engine.functions.scoring import cents_sql, tier_label
 from trend_engine.operators.topk import top_k, with_rank
 
 BOARD_SIZE = 20
@@ -14,11 +14,11 @@ TRENDING_FIELDS = ["id", "title", "score", "comments", "viral_score", "author",
 
 def score_text(score_col: str, places: int):
     """Score shown with 1 or 0 decimals, half-up on its two-decimal value (non-negative)."""
-    c = cents(score_col)
+    c = cents_sql(score_col)
     if places == 1:
-        return F.format_string("%.1f", ((c + F.lit(5)) / F.lit(10)).cast("bigint") / F.lit(10.0))
+        return F.expr(f"format_string('%.1f', CAST(({c} + 5) div 10 AS DOUBLE) / 10D)")
     if places == 0:
-        return ((c + F.lit(50)) / F.lit(100)).cast("bigint").cast("string")
+        return F.expr(f"CAST(({c} + 50) div 100 AS STRING)")
     raise ValueError("places must be 0 or 1")
 
 

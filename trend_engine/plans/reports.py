@@ -62,14 +62,14 @@ def _tagged(serving: DataFrame, stats: DataFrame | None, top_n: int, top_fields:
 
 
 def _top_array(top_fields: Sequence[str]) -> Column:
-    ranked = F.array_sort(F.collect_list("_top"))  # rank is the first field
-    return F.transform(ranked, lambda x: F.struct(*[x[c].alias(c) for c in top_fields]))
+    fields = ", ".join(f"x.{c} AS {c}" for c in top_fields)
+    # rank is the first struct field, so array_sort orders by rank
+    return F.expr(f"transform(array_sort(collect_list(_top)), x -> struct({fields}))")
 
 
 def _stats_map() -> Column:
-    entries = F.collect_list(F.struct(F.col("_stat.stat_key").alias("stat_key"),
-                                      F.col("_stat.stat_value").alias("stat_value")))
-    return F.map_from_entries(F.array_sort(F.filter(entries, lambda e: e["stat_key"].isNotNull())))
+    return F.expr("map_from_entries(array_sort(filter(collect_list(struct(_stat.stat_key AS stat_key, "
+                  "_stat.stat_value AS stat_value)), e -> e.stat_key IS NOT NULL)))")
 
 
 def _now(now) -> Column:

@@ -1,7 +1,19 @@
 """Fixed schemas: raw items, post messages and the stored tables."""
 
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+                               StructField, StructType, TimestampNTZType, TimestampType)
+
+# The provided event table that the post observations are derived from. Reading with a
+# declared schema skips the footer-sampling job that schema inference would run per query.
+EVENTS = StructType([
+    StructField("event_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()),
+    StructField("event_type", StringType()),
+    StructField("value", DoubleType()),
+    StructField("props", StringType()),
+])
+TABLE_SCHEMAS = {"events": EVENTS}
 
 # A raw item as landed from the ranked story list (one JSON object per line).
 RAW_ITEM = StructType([

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trend_engine.functions.scoring import assign_topic
+from trend_engine.functions.scoring import assign_topic_sql
 from trend_engine.schema import RAW_ITEM
 
 # Defaults for missing item fields and the source tag.
@@ -32,29 +32,27 @@ def head_of_list(items: DataFrame, n: int, rank_col: str = "list_rank") -> DataF
     return items.filter(F.col(rank_col) < F.lit(n))
 
 
-def normalise_items(items: DataFrame, now_seconds=None, story_only: bool = True) -> DataFrame:
+def normalise_items(items: DataFrame, now_seconds: str | None = None, story_only: bool = True) -> DataFrame:
     """Keep stories with a non-empty title, rename fields and fill defaults.
 
     Missing and null fields both get the default (score 0, comments 0, author ``unknown``,
     url ``''``, time = observation time). ``story_only=False`` is the hourly job's variant,
-    which does not check the type.
+    which does not check the type. ``now_seconds`` is a SQL expression for the fallback time.
     """
-    cond = F.col("title").isNotNull() & (F.col("title") != F.lit(""))
-    if story_only:
-        cond = cond & (F.col("type") == F.lit("story"))
+    cond = "title IS NOT NULL AND title <> ''" + (" AND type = 'story'" if story_only else "")
     if now_seconds is None:
-        now_seconds = F.unix_timestamp(F.col("observed_at")) if "observed_at" in items.columns \
-            else F.unix_timestamp(F.current_timestamp())
+        now_seconds = ("unix_timestamp(observed_at)" if "observed_at" in items.columns
+                       else "unix_timestamp(current_timestamp())")
     keep = [c for c in ("batch", "list_rank", "observed_at") if c in items.columns]
-    return items.filter(cond).select(
-        F.col("id").cast("string").alias("id"),
+    return items.filter(cond).selectExpr(
+        "CAST(id AS STRING) AS id",
         "title",
-        F.coalesce(F.col("score"), F.lit(0)).alias("score"),
-        F.coalesce(F.col("descendants"), F.lit(0)).alias("comments"),
-        F.coalesce(F.col("by"), F.lit(DEFAULT_AUTHOR)).alias("author"),
-        F.coalesce(F.col("url"), F.lit(DEFAULT_URL)).alias("url"),
-        F.lit(SOURCE_TAG).alias("source"),
-        assign_topic(F.col("id").cast("string")).alias("subreddit"),
-        F.coalesce(F.col("time"), now_seconds.cast("bigint")).alias("unix_time"),
+        "coalesce(score, 0) AS score",
+        "coalesce(descendants, 0) AS comments",
+        f"coalesce(by, '{DEFAULT_AUTHOR}') AS author",
+        f"coalesce(url, '{DEFAULT_URL}') AS url",
+        f"'{SOURCE_TAG}' AS source",
+        f"{assign_topic_sql('id')} AS subreddit",
+        f"coalesce(time, CAST({now_seconds} AS BIGINT)) AS unix_time",
         *keep,
     )
