@@ -84,16 +84,24 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_items_from_events(read_table(spark, sf_dir, "events"))
 
 
-def serving_from_posts(p: DataFrame) -> DataFrame:
-    """Latest viral observation of each id (what the keyed viral-post store holds)."""
+def serving_from_posts(p: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Latest viral observation of each id (what the keyed viral-post store holds).
+
+    ``columns`` limits the stored fields carried through the aggregate; the packed struct hides
+    unused fields from column pruning, so narrow readers should name what they need.
+    """
+    values = [c for c in VIRAL_FIELDS[1:] if columns is None or c in columns]
+    if "batch_num" not in values:
+        values.append("batch_num")
     viral = p.filter("is_viral").selectExpr(
         "id", "title", "score", "comments", "viral_score", "source", "author",
         "observed_at AS timestamp", "batch AS batch_num")
-    return latest_per_key(viral, ["id"], ["batch_num"], VIRAL_FIELDS[1:])
+    out = latest_per_key(viral, ["id"], ["batch_num"], values)
+    return out if columns is None else out.select("id", *[c for c in values if c in columns])
 
 
-def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving_from_posts(posts(spark, sf_dir))
+def serving(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    return serving_from_posts(posts(spark, sf_dir), columns)
 
 
 def stats_from_posts(p: DataFrame) -> DataFrame:

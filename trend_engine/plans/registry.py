@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trend_engine import fixtures
 from trend_engine.functions.timefmt import hour_label, iso_local, iso_utc, report_key
 from trend_engine.operators import aggregates as agg
-from trend_engine.operators.board import board, trending_top
+from trend_engine.operators.board import TRENDING_FIELDS, board, trending_top
 from trend_engine.operators.views import top_viral_posts, viral_posts_view
 from trend_engine.plans import reports
 from trend_engine.session import use_utc
@@ -29,13 +29,13 @@ def _posts(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.posts(spark, sf)
 
 
-def _serving(spark: SparkSession, sf: str) -> DataFrame:
-    return fixtures.serving_from_posts(_posts(spark, sf))
+def _serving(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
+    return fixtures.serving_from_posts(_posts(spark, sf), columns)
 
 
-def _both(spark: SparkSession, sf: str):
+def _both(spark: SparkSession, sf: str, columns: list[str] | None = None):
     p = _posts(spark, sf)
-    return fixtures.serving_from_posts(p), fixtures.stats_from_posts(p)
+    return fixtures.serving_from_posts(p, columns), fixtures.stats_from_posts(p)
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,11 +81,11 @@ def q_tier_distribution(spark, sf):
 
 
 def q_tier_distribution_serving(spark, sf):
-    return agg.tier_distribution(_serving(spark, sf))
+    return agg.tier_distribution(_serving(spark, sf, ["viral_score"]))
 
 
 def q_author_leaderboard(spark, sf):
-    return agg.author_leaderboard(_serving(spark, sf), 5)
+    return agg.author_leaderboard(_serving(spark, sf, ["author", "viral_score", "score"]), 5)
 
 
 def q_topic_leaderboard(spark, sf):
@@ -93,7 +93,7 @@ def q_topic_leaderboard(spark, sf):
 
 
 def q_top_viral_posts(spark, sf):
-    return top_viral_posts(_serving(spark, sf), 5)
+    return top_viral_posts(_serving(spark, sf, ["title", "score", "viral_score"]), 5)
 
 
 def q_poll_summary(spark, sf):
@@ -125,31 +125,31 @@ def q_stats_map(spark, sf):
 
 
 def q_stats_summary(spark, sf):
-    return reports.stats_payload(*_both(spark, sf))
+    return reports.stats_payload(*_both(spark, sf, ["viral_score"]))
 
 
 def q_store_audit(spark, sf):
-    return reports.store_audit(*_both(spark, sf))
+    return reports.store_audit(*_both(spark, sf, ["viral_score"]))
 
 
 def q_trending_board(spark, sf):
-    return board(_serving(spark, sf))
+    return board(_serving(spark, sf, TRENDING_FIELDS))
 
 
 def q_trending_top20(spark, sf):
-    return trending_top(_serving(spark, sf), 20)
+    return trending_top(_serving(spark, sf, TRENDING_FIELDS), 20)
 
 
 def q_trending_payload(spark, sf):
-    return reports.as_json_text(reports.trending_payload(*_both(spark, sf)), ["pipeline_stats", "trending"])
+    return reports.as_json_text(reports.trending_payload(*_both(spark, sf, reports.TRENDING_TOP[2])), ["pipeline_stats", "trending"])
 
 
 def q_trend_report(spark, sf):
-    return reports.as_json_text(reports.trend_report(*_both(spark, sf)), ["pipeline_stats", "top_viral"])
+    return reports.as_json_text(reports.trend_report(*_both(spark, sf, reports.TREND_TOP[2])), ["pipeline_stats", "top_viral"])
 
 
 def q_analytics_report(spark, sf):
-    return reports.as_json_text(reports.analytics_report(*_both(spark, sf)), ["pipeline_stats", "top_posts"])
+    return reports.as_json_text(reports.analytics_report(*_both(spark, sf, reports.ANALYTICS_TOP[2])), ["pipeline_stats", "top_posts"])
 
 
 def q_report_hour(spark, sf):

@@ -90,9 +90,13 @@ def viral_log(spark: SparkSession, root: str) -> DataFrame:
     return _read_log(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA)
 
 
-def viral_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The keyed viral-post table: the latest viral observation of every id."""
-    return latest_per_key(viral_log(spark, root), ["id"], VIRAL_ORDER, VIRAL_FIELDS[1:])
+def viral_latest(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
+    """The keyed viral-post table: the latest viral observation of every id.
+
+    ``columns`` limits the fields carried through the aggregate (and so read from the log).
+    """
+    values = [c for c in VIRAL_FIELDS[1:] if columns is None or c in columns]
+    return latest_per_key(viral_log(spark, root), ["id"], VIRAL_ORDER, values)
 
 
 def stats_latest(spark: SparkSession, root: str) -> DataFrame:
