@@ -14,14 +14,23 @@ DEFAULT_URL = ""
 SOURCE_TAG = "hackernews"
 
 
+# Timestamps in landed JSON keep microseconds (the default JSON format stops at milliseconds).
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def land_items(items: DataFrame, path: str) -> None:
+    """Append raw items as JSON lines (the landing side of ``read_items``)."""
+    items.write.mode("append").option("timestampFormat", JSON_TS_FORMAT).json(path)
+
+
 def read_items(spark: SparkSession, path: str, stream: bool = False, extra_fields=None) -> DataFrame:
     """JSON-lines items with a fixed schema (no inference). ``extra_fields`` are appended
-    (e.g. ``batch``/``list_rank`` written by the landing job)."""
+    (e.g. ``batch``/``list_rank``/``observed_at`` written by the landing job)."""
     schema = RAW_ITEM
     for f in extra_fields or []:
         schema = schema.add(f)
     reader = spark.readStream if stream else spark.read
-    return reader.schema(schema).json(path)
+    return reader.schema(schema).option("timestampFormat", JSON_TS_FORMAT).json(path)
 
 
 def head_of_list(items: DataFrame, n: int, rank_col: str = "list_rank") -> DataFrame:

@@ -44,7 +44,8 @@ def epoch_path(root: str, table: str, run: str, epoch: int) -> str:
 
 
 def _viral_rows(batch: DataFrame) -> DataFrame:
-    meta = [c if c in batch.columns else F.lit(None).alias(c) for c in ("partition", "offset")]
+    meta = [F.col(c).cast(t).alias(c) if c in batch.columns else F.lit(None).cast(t).alias(c)
+            for c, t in (("partition", "int"), ("offset", "bigint"))]
     return batch.filter(F.col("is_viral")).select(
         "id", "title", "score", "comments", "viral_score", "source", "author",
         F.col("observed_at").alias("timestamp"), F.col("batch").alias("batch_num"),
