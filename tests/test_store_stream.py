@@ -104,3 +104,26 @@ def test_windowed_stream_equals_batch(spark):
     got = topics_latest(spark, f"{work}/store")
     want = windowed_topics(posts).select(*got.columns)
     assert _sorted(got) == _sorted(want)
+
+
+def test_compaction_keeps_latest_view(spark):
+    work, sink = _sink(spark)
+    root = f"{work}/store"
+    for epoch in range(4):
+        msgs = [_msg(str(i), 60.0 + epoch + i, epoch + 1) for i in range(epoch, epoch + 5)]
+        sink(_batch(spark, msgs), epoch)
+    before = _sorted(store.viral_latest(spark, root))
+    stats_before = _sorted(store.stats_latest(spark, root))
+    assert store.compact_store(spark, root) == {"viral_log": 0, "stats_log": 0}
+    assert _sorted(store.viral_latest(spark, root)) == before
+    assert _sorted(store.stats_latest(spark, root)) == stats_before
+    # more epochs (one a replay of the newest, unfolded epoch), then compact again
+    sink(_batch(spark, [_msg("3", 99.0, 4)]), 3)
+    sink(_batch(spark, [_msg("100", 77.0, 5), _msg("0", 61.0, 5)]), 4)
+    from trend_engine.sources.compaction import current_manifest
+    assert current_manifest(spark, root, "viral_log")[1] == {"q00000000000000000000000000000001": 2}
+    after = _sorted(store.viral_latest(spark, root))
+    assert store.compact_store(spark, root)["viral_log"] == 1
+    assert _sorted(store.viral_latest(spark, root)) == after
+    latest = {r.id: r.viral_score for r in store.viral_latest(spark, root).collect()}
+    assert latest["3"] == 99.0 and latest["0"] == 61.0 and latest["100"] == 77.0

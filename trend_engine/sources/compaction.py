@@ -1,0 +1,94 @@
+"""Compaction of the per-epoch logs into keyed snapshots.
+
+The stream adds one ``epoch=<n>`` directory per trigger (5,760 a day at 15 s), so reading
+"latest per key" over the raw log gets slower and touches more small files every day.
+Compaction folds settled epochs into a snapshot that already holds one row per key:
+
+    <table>_snapshot/v=<k>/          latest row per key (with its ordering columns)
+    <table>_manifest/                rows (version, run, epoch_upto): what v=<k> contains
+
+The newest epoch of every run is left in the log (it may still be replayed). Readers take the
+newest manifest version, read that snapshot, and read only log epochs past ``epoch_upto``
+(partition pruning on ``run``/``epoch``). Everything is a Spark job; only the manifest
+(one row per run) is read by the driver. A failed compaction leaves no manifest row, so readers
+never see a half-written snapshot.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from trend_engine.operators.latest import latest_per_key
+
+MANIFEST = StructType([StructField("version", LongType()), StructField("run", StringType()),
+                       StructField("epoch_upto", LongType())])
+
+
+def _paths(root: str, table: str) -> tuple[str, str, str]:
+    root = root.rstrip("/")
+    return f"{root}/{table}", f"{root}/{table}_snapshot", f"{root}/{table}_manifest"
+
+
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    from trend_engine.sources.store import _read_log  # shared guarded reader (missing → empty)
+    root, name = path.rsplit("/", 1)
+    return _read_log(spark, root, name, schema)
+
+
+def current_manifest(spark: SparkSession, root: str, table: str) -> tuple[int | None, dict[str, int]]:
+    """Newest version and its per-run fold boundary (one small row per run)."""
+    _, _, man = _paths(root, table)
+    m = _read(spark, man, MANIFEST)
+    newest = m.agg(F.max("version")).first()[0]
+    if newest is None:
+        return None, {}
+    rows = m.filter(F.col("version") == newest).select("run", "epoch_upto").collect()
+    return int(newest), {r.run: int(r.epoch_upto) for r in rows}
+
+
+def _unfolded(log: DataFrame, folded: dict[str, int]) -> DataFrame:
+    if not folded:
+        return log
+    cond = None
+    for run, upto in folded.items():
+        c = (F.col("run") == F.lit(run)) & (F.col("epoch") <= F.lit(upto))
+        cond = c if cond is None else (cond | c)
+    return log.filter(~cond)
+
+
+def read_compacted(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    """Snapshot ∪ unfolded log, with the log's columns (ready for latest-per-key)."""
+    log_path, snap_path, _ = _paths(root, table)
+    version, folded = current_manifest(spark, root, table)
+    log = _read(spark, log_path, schema)
+    if version is None:
+        return log
+    snap = spark.read.schema(schema).parquet(f"{snap_path}/v={version}")
+    return snap.unionByName(_unfolded(log, folded))
+
+
+def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys: list[str],
+            order: list[str]) -> int | None:
+    """Fold all but the newest epoch of each run into a new snapshot version; returns it."""
+    log_path, snap_path, man_path = _paths(root, table)
+    version, folded = current_manifest(spark, root, table)
+    log = _read(spark, log_path, schema)
+    bounds = {r.run: int(r.upto) for r in
+              log.groupBy("run").agg((F.max("epoch") - 1).alias("upto")).collect()}
+    bounds = {run: upto for run, upto in bounds.items() if upto >= 0}
+    new = {**folded, **{r: max(u, folded.get(r, -1)) for r, u in bounds.items()}}
+    if new == folded:
+        return version
+    fresh = _unfolded(log, folded)
+    fresh = fresh.filter(" OR ".join(f"(run = '{r}' AND epoch <= {u})" for r, u in new.items()))
+    rows = fresh if version is None else spark.read.schema(schema).parquet(f"{snap_path}/v={version}") \
+        .unionByName(fresh)
+    values = [c for c in schema.fieldNames() if c not in keys]
+    nxt = 0 if version is None else version + 1
+    latest_per_key(rows, keys, order, values).select(*schema.fieldNames()) \
+        .write.mode("overwrite").parquet(f"{snap_path}/v={nxt}")
+    spark.createDataFrame([(nxt, r, u) for r, u in new.items()], MANIFEST) \
+        .write.mode("append").parquet(man_path)
+    return nxt

@@ -94,16 +94,30 @@ def viral_log(spark: SparkSession, root: str) -> DataFrame:
 def viral_latest(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
     """The keyed viral-post table: the latest viral observation of every id.
 
-    ``columns`` limits the fields carried through the aggregate (and so read from the log).
+    Reads the compacted snapshot plus the epochs logged since. ``columns`` limits the fields
+    carried through the aggregate (and so read from storage).
     """
+    from trend_engine.sources.compaction import read_compacted
     values = [c for c in VIRAL_FIELDS[1:] if columns is None or c in columns]
-    return latest_per_key(viral_log(spark, root), ["id"], VIRAL_ORDER, values)
+    rows = read_compacted(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA)
+    return latest_per_key(rows, ["id"], VIRAL_ORDER, values)
+
+
+STATS_ORDER = ["updated_at", "epoch"]
 
 
 def stats_latest(spark: SparkSession, root: str) -> DataFrame:
     """The keyed counters table: the latest value of every stat key."""
-    log = _read_log(spark, root, STATS_LOG, STATS_LOG_SCHEMA)
-    return latest_per_key(log, ["stat_key"], ["updated_at", "epoch"], ["stat_value", "updated_at"])
+    from trend_engine.sources.compaction import read_compacted
+    rows = read_compacted(spark, root, STATS_LOG, STATS_LOG_SCHEMA)
+    return latest_per_key(rows, ["stat_key"], STATS_ORDER, ["stat_value", "updated_at"])
+
+
+def compact_store(spark: SparkSession, root: str) -> dict[str, int | None]:
+    """Fold settled epochs of the viral and stats logs into snapshots."""
+    from trend_engine.sources.compaction import compact
+    return {VIRAL_LOG: compact(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA, ["id"], VIRAL_ORDER),
+            STATS_LOG: compact(spark, root, STATS_LOG, STATS_LOG_SCHEMA, ["stat_key"], STATS_ORDER)}
 
 
 def cumulative_counts(spark: SparkSession, root: str) -> DataFrame:
