@@ -9,8 +9,8 @@ Each report is ONE global aggregate over a tagged union of three row sets:
 
 ``collect_list`` only ever sees the ``t`` and ``s`` rows, so what reaches the single final
 aggregate task is bounded by k + number of stat keys, whatever the data size. No join (and no
-cross join) is needed to put the pieces on one row. Both the figures and the top-k read the
-same serving plan; Spark reuses its shuffle (ReusedExchange).
+cross join) is needed to put the pieces on one row. Catalyst prunes each branch on its own: a
+branch that only counts posts shrinks to a distinct-id aggregate, without the max_by.
 """
 
 from __future__ import annotations
