@@ -70,8 +70,11 @@ def read_compacted(spark: SparkSession, root: str, table: str, schema: StructTyp
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys: list[str],
-            order: list[str]) -> int | None:
-    """Fold all but the newest epoch of each run into a new snapshot version; returns it."""
+            order: list[str], keep=None) -> int | None:
+    """Fold all but the newest epoch of each run into a new snapshot version; returns it.
+
+    ``keep`` filters the log rows that belong in the keyed snapshot (e.g. not the rejects).
+    """
     log_path, snap_path, man_path = _paths(root, table)
     version, folded = current_manifest(spark, root, table)
     log = _read(spark, log_path, schema)
@@ -83,6 +86,8 @@ def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys
         return version
     fresh = _unfolded(log, folded)
     fresh = fresh.filter(" OR ".join(f"(run = '{r}' AND epoch <= {u})" for r, u in new.items()))
+    if keep is not None:
+        fresh = fresh.filter(keep)
     rows = fresh if version is None else spark.read.schema(schema).parquet(f"{snap_path}/v={version}") \
         .unionByName(fresh)
     values = [c for c in schema.fieldNames() if c not in keys]

@@ -2,9 +2,9 @@
 
 Layout under a store root (any Hadoop-compatible path shared by the cluster)::
 
-    viral_log/run=<run>/epoch=<n>/   viral observations of one micro-batch
-    stats_log/run=<run>/epoch=<n>/   the batch counters as key/value rows
-    rejects/run=<run>/epoch=<n>/     viral rows without an id (cannot be keyed)
+    viral_log/run=<run>/epoch=<n>/keyed=true/    viral observations of one micro-batch
+    viral_log/run=<run>/epoch=<n>/keyed=false/   viral rows without an id (cannot be keyed)
+    stats_log/run=<run>/epoch=<n>/               the batch counters as key/value rows
     topics_log/run=<run>/epoch=<n>/  windowed topic aggregates updated in that batch
 
 Each micro-batch overwrites exactly its own ``epoch=<n>`` directory, so a replayed epoch
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from trend_engine.operators.aggregates import batch_counts, stat_rows
@@ -28,13 +28,13 @@ from trend_engine.schema import PIPELINE_STATS, VIRAL_FIELDS, VIRAL_POSTS
 
 VIRAL_LOG = "viral_log"
 STATS_LOG = "stats_log"
-REJECTS = "rejects"
 TOPICS_LOG = "topics_log"
 
 LOG_META = [StructField("observed_at", TimestampType()), StructField("ingested_at", TimestampType()),
             StructField("partition", IntegerType()), StructField("offset", LongType())]
 RUN_EPOCH = [StructField("run", StringType()), StructField("epoch", LongType())]
-VIRAL_LOG_SCHEMA = StructType(list(VIRAL_POSTS.fields) + LOG_META + RUN_EPOCH)
+VIRAL_LOG_SCHEMA = StructType(list(VIRAL_POSTS.fields) + LOG_META + RUN_EPOCH
+                              + [StructField("keyed", BooleanType())])
 STATS_LOG_SCHEMA = StructType(list(PIPELINE_STATS.fields) + RUN_EPOCH)
 VIRAL_ORDER = ["ingested_at", "batch_num", "partition", "offset", "epoch"]
 
@@ -53,12 +53,9 @@ def _viral_rows(batch: DataFrame) -> DataFrame:
 
 
 def upsert_viral(batch: DataFrame, root: str, run: str, epoch: int) -> None:
-    """Write the batch's viral rows (keyed ones to the log, id-less ones to ``rejects``)."""
-    viral = _viral_rows(batch)
-    viral.filter(F.col("id").isNotNull()).write.mode("overwrite").parquet(
-        epoch_path(root, VIRAL_LOG, run, epoch))
-    rejects = viral.filter(F.col("id").isNull())
-    rejects.write.mode("overwrite").parquet(epoch_path(root, REJECTS, run, epoch))
+    """Write the batch's viral rows in one job: keyed rows and id-less rejects side by side."""
+    viral = _viral_rows(batch).withColumn("keyed", F.col("id").isNotNull())
+    viral.write.mode("overwrite").partitionBy("keyed").parquet(epoch_path(root, VIRAL_LOG, run, epoch))
 
 
 def upsert_stats(batch: DataFrame, root: str, run: str, epoch: int, ingested_at: Column) -> None:
@@ -99,7 +96,7 @@ def viral_latest(spark: SparkSession, root: str, columns: list[str] | None = Non
     """
     from trend_engine.sources.compaction import read_compacted
     values = [c for c in VIRAL_FIELDS[1:] if columns is None or c in columns]
-    rows = read_compacted(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA)
+    rows = read_compacted(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA).filter(F.col("keyed"))
     return latest_per_key(rows, ["id"], VIRAL_ORDER, values)
 
 
@@ -116,7 +113,8 @@ def stats_latest(spark: SparkSession, root: str) -> DataFrame:
 def compact_store(spark: SparkSession, root: str) -> dict[str, int | None]:
     """Fold settled epochs of the viral and stats logs into snapshots."""
     from trend_engine.sources.compaction import compact
-    return {VIRAL_LOG: compact(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA, ["id"], VIRAL_ORDER),
+    return {VIRAL_LOG: compact(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA, ["id"], VIRAL_ORDER,
+                               keep=F.col("keyed")),
             STATS_LOG: compact(spark, root, STATS_LOG, STATS_LOG_SCHEMA, ["stat_key"], STATS_ORDER)}
 
 
@@ -131,8 +129,8 @@ def cumulative_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    schema = StructType([f for f in VIRAL_LOG_SCHEMA.fields])
-    return _read_log(spark, root, REJECTS, schema)
+    """Viral rows that could not be keyed (null id)."""
+    return viral_log(spark, root).filter(~F.col("keyed"))
 
 
 def load_serving(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

@@ -24,9 +24,8 @@ def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: i
     if lo is None:
         return files_per_drop
     step = (hi - lo) // drops + 1
-    values = envelope(posts).select("value", F.get_json_object("value", "$.batch").cast("int").alias("b"))
     for i in range(drops):
         start, end = lo + i * step, lo + (i + 1) * step
-        part = values.filter((F.col("b") >= start) & (F.col("b") < end)).select("value")
+        part = envelope(posts.filter((F.col("batch") >= start) & (F.col("batch") < end))).select("value")
         part.repartition(files_per_drop).write.mode("append").text(path)
     return files_per_drop
