@@ -127,3 +127,42 @@ def test_compaction_keeps_latest_view(spark):
     assert _sorted(store.viral_latest(spark, root)) == after
     latest = {r.id: r.viral_score for r in store.viral_latest(spark, root).collect()}
     assert latest["3"] == 99.0 and latest["0"] == 61.0 and latest["100"] == 77.0
+
+
+class _FailOnce(ViralSink):
+    """A sink that dies right after writing one epoch, the first time only."""
+
+    def __init__(self, root, checkpoint, fail_epoch):
+        super().__init__(root, checkpoint)
+        self.fail_epoch = fail_epoch
+        self.failed = False
+
+    def write(self, batch, run, epoch, stamp):
+        super().write(batch, run, epoch, stamp)
+        if epoch == self.fail_epoch and not self.failed:
+            self.failed = True
+            raise RuntimeError("injected failure after the epoch's writes")
+
+
+def test_forced_failure_then_restart_equals_batch(spark):
+    import pytest
+    from trend_engine.sources.messages import parse_posts as _parse
+    posts = fixtures.posts(spark, SF_SMALL)
+    work = scratch_dir(spark, "failure")
+    n = land_messages(posts, f"{work}/input", drops=4)
+    sink = _FailOnce(f"{work}/store", f"{work}/chk", fail_epoch=1)
+
+    def run():
+        raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=n)
+        q = (_parse(raw).writeStream.queryName("t_fail").option("checkpointLocation", f"{work}/chk")
+             .foreachBatch(sink).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    with pytest.raises(Exception):
+        run()
+    run()  # restart from the checkpoint: epoch 1 is replayed, then 2 and 3
+    got = store.viral_latest(spark, f"{work}/store")
+    want = fixtures.serving_from_posts(posts)
+    assert _sorted(got) == _sorted(want.select(*got.columns))
+    c = store.cumulative_counts(spark, f"{work}/store").first()
+    assert c.total_processed == posts.count() and c.batches == 4

@@ -52,6 +52,10 @@ items AS (
          CASE WHEN event_id % 19 = 0 THEN NULL ELSE 'user_' || CAST(user_id AS VARCHAR) END AS "by",
          CAST(NULL AS VARCHAR) AS url, unix_time AS "time", batch, list_rank, ts AS observed_at
   FROM base),
+fetched AS (
+  SELECT CAST(id AS VARCHAR) AS id, batch, title, coalesce(score, 0) AS score,
+         coalesce(descendants, 0) AS comments, coalesce("by", 'unknown') AS author
+  FROM items WHERE list_rank < 5 AND title IS NOT NULL AND title <> ''),
 normalised AS (
   SELECT CAST(id AS VARCHAR) AS id, title, coalesce(score, 0) AS score, coalesce(descendants, 0) AS comments,
          coalesce("by", 'unknown') AS author, coalesce(url, '') AS url, 'hackernews' AS source,
@@ -108,6 +112,7 @@ SQL: dict[str, str] = {
     "head_of_list": _q("SELECT CAST(id AS BIGINT) AS id, batch, list_rank, \"type\", title FROM items WHERE list_rank < 5"),
     "normalise_items": _q("SELECT id, batch, title, score, comments, author, url, source, unix_time "
                           "FROM normalised WHERE list_rank < 20"),
+    "fetch_posts": _q("SELECT id, batch, title, score, comments, author FROM fetched"),
     "assign_topic": _q("SELECT id, batch, topic FROM normalised"),
     "publish_envelope": _q("""
 SELECT CASE WHEN id IS NOT NULL AND id <> '' THEN id END AS "key",

@@ -57,6 +57,12 @@ def q_normalise_items(spark, sf):
         "id", "batch", "title", "score", "comments", "author", "url", "source", "unix_time")
 
 
+def q_fetch_posts(spark, sf):
+    """The hourly job's fetch: first 5 listed per poll, any type with a title."""
+    return normalise_items(head_of_list(_items(spark, sf), 5), story_only=False).select(
+        "id", "batch", "title", "score", "comments", "author")
+
+
 def q_assign_topic(spark, sf):
     return normalise_items(_items(spark, sf)).select("id", "batch", F.col("subreddit").alias("topic"))
 
@@ -162,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "viral_score": q_viral_score,
     "head_of_list": q_head_of_list,
     "normalise_items": q_normalise_items,
+    "fetch_posts": q_fetch_posts,
     "assign_topic": q_assign_topic,
     "publish_envelope": q_publish_envelope,
     "parse_posts": q_parse_posts,

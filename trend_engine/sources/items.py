@@ -33,6 +33,11 @@ def read_items(spark: SparkSession, path: str, stream: bool = False, extra_field
     return reader.schema(schema).option("timestampFormat", JSON_TS_FORMAT).json(path)
 
 
+def with_batch(df: DataFrame, n: int) -> DataFrame:
+    """Tag every row with the poll number ``n`` (the streaming job uses the epoch id instead)."""
+    return df.withColumn("batch", F.lit(int(n)).cast("int"))
+
+
 def head_of_list(items: DataFrame, n: int, rank_col: str = "list_rank") -> DataFrame:
     """The first ``n`` entries of each poll's ranked list, cut **before** any filtering.
 
