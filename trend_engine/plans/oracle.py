@@ -61,8 +61,15 @@ normalised AS (
          coalesce("by", 'unknown') AS author, coalesce(url, '') AS url, 'hackernews' AS source,
          (['technology', 'programming', 'MachineLearning', 'datascience', 'artificial', 'Python'])
            [CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 15))::BIGINT % 6 AS INTEGER) + 1] AS topic,
-         coalesce("time", CAST(floor(epoch(observed_at)) AS BIGINT)) AS unix_time, batch, list_rank
-  FROM items WHERE "type" = 'story' AND title IS NOT NULL AND title <> '')
+         coalesce("time", CAST(floor(epoch(observed_at)) AS BIGINT)) AS unix_time, batch, list_rank,
+         observed_at
+  FROM items WHERE "type" = 'story' AND title IS NOT NULL AND title <> ''),
+item_posts AS (
+  SELECT *, viral_score > 50 AS is_viral
+  FROM (SELECT *, round((CAST(score AS DOUBLE) + CAST(comments AS DOUBLE) * 2)
+                        / pow(greatest(1.0, (epoch_us(observed_at) / 1e6 - unix_time) / 3600) + 2, 1.5), 2)
+                  AS viral_score
+        FROM normalised WHERE list_rank < 30))
 """
 
 
@@ -113,6 +120,9 @@ SQL: dict[str, str] = {
     "normalise_items": _q("SELECT id, batch, title, score, comments, author, url, source, unix_time "
                           "FROM normalised WHERE list_rank < 20"),
     "fetch_posts": _q("SELECT id, batch, title, score, comments, author FROM fetched"),
+    "score_items": _q("SELECT id, batch, topic AS subreddit, score, comments, author, unix_time, "
+                      "strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%f') AS \"timestamp\", viral_score, is_viral "
+                      "FROM item_posts"),
     "assign_topic": _q("SELECT id, batch, topic FROM normalised"),
     "publish_envelope": _q("""
 SELECT CASE WHEN id IS NOT NULL AND id <> '' THEN id END AS "key",

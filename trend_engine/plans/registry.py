@@ -17,6 +17,7 @@ from trend_engine.operators import aggregates as agg
 from trend_engine.operators.board import TRENDING_FIELDS, board, trending_top
 from trend_engine.operators.views import top_viral_posts, viral_posts_view
 from trend_engine.plans import reports
+from trend_engine.plans.produce import messages_from_items
 from trend_engine.session import use_utc
 from trend_engine.sources.items import head_of_list, normalise_items
 from trend_engine.sources.messages import envelope, parse_posts
@@ -63,6 +64,13 @@ def q_fetch_posts(spark, sf):
         "id", "batch", "title", "score", "comments", "author")
 
 
+def q_score_items(spark, sf):
+    """Producer stage: raw items → scored messages."""
+    return messages_from_items(_items(spark, sf)).select(
+        "id", "batch", "subreddit", "score", "comments", "author", "unix_time", "timestamp", "viral_score",
+        "is_viral")
+
+
 def q_assign_topic(spark, sf):
     return normalise_items(_items(spark, sf)).select("id", "batch", F.col("subreddit").alias("topic"))
 
@@ -169,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "head_of_list": q_head_of_list,
     "normalise_items": q_normalise_items,
     "fetch_posts": q_fetch_posts,
+    "score_items": q_score_items,
     "assign_topic": q_assign_topic,
     "publish_envelope": q_publish_envelope,
     "parse_posts": q_parse_posts,
