@@ -3,9 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType, TimestampType)
+from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
 
 from trend_engine.functions.scoring import is_viral, tier, tier_label, viral_score
 from trend_engine.functions.timefmt import hour_label, iso_local, report_key

@@ -18,7 +18,8 @@ def test_items_to_report(spark):
     items = fixtures.raw_items(spark, SF_SMALL)
     land_items(items, f"{work}/items")
     jobs.produce(spark, f"{work}/items", f"{work}/messages", "file", {})
-    jobs.ingest(spark, "file", f"{work}/messages", {}, f"{work}/store", f"{work}/chk", once=True)
+    jobs.ingest(spark, "file", f"{work}/messages", {}, f"{work}/store", f"{work}/chk", once=True,
+                raw_path=f"{work}/raw_posts")
     serving = store.viral_latest(spark, f"{work}/store")
     want = fixtures.serving_from_posts(messages_from_items(items))
     assert _sorted(serving.drop("timestamp")) == _sorted(want.select(*serving.columns).drop("timestamp"))
@@ -28,3 +29,8 @@ def test_items_to_report(spark):
     assert spark.read.json(f"{work}/reports").first().total_viral_posts == serving.count()
     store.compact_store(spark, f"{work}/store")
     assert _sorted(store.viral_latest(spark, f"{work}/store")) == _sorted(serving)
+    # every observation reached the raw table; the hourly job rolls it into ORC
+    jobs.hourly(spark, f"{work}/raw_posts", f"{work}/hourly")
+    from trend_engine.operators.aggregates import hourly_rollup
+    from trend_engine.sources.catalog import hourly
+    assert _sorted(hourly(spark, f"{work}/hourly")) == _sorted(hourly_rollup(messages_from_items(items)))

@@ -1,6 +1,5 @@
 """Sources and sinks: landed items, CSV raw table, ORC hourly table, report files, serving fallback."""
 
-import datetime as dt
 import json
 import os
 

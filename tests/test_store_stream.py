@@ -1,17 +1,14 @@
 """Keyed store semantics, replay safety and stream = batch."""
 
-import datetime as dt
 import json
 import os
-import tempfile
 
-from pyspark.sql import functions as F
 
 from trend_engine import fixtures
 from trend_engine.operators.aggregates import windowed_topics
 from trend_engine.session import scratch_dir
 from trend_engine.sources import store
-from trend_engine.sources.messages import envelope, parse_posts, read_posts_stream
+from trend_engine.sources.messages import parse_posts, read_posts_stream
 from trend_engine.streaming.files import land_messages
 from trend_engine.streaming.ingest import ViralSink, start_ingest, start_windowed_topics, topics_latest
 

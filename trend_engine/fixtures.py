@@ -8,7 +8,6 @@ upserts have work to do. Everything is a narrow projection of ``events`` (no shu
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trend_engine.functions.scoring import is_viral_sql, sql_literal, viral_score_sql
 from trend_engine.functions.timefmt import ISO_MICROS

@@ -19,14 +19,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def epoch_micros_ntz(col) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ read as UTC (zone-independent)."""
-    name = col if isinstance(col, str) else None
-    if name is None:
-        raise TypeError("epoch_micros_ntz takes a column name")
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-
-
 def iso_utc(ts) -> Column:
     """UTC ISO text with microseconds and no zone suffix (message ``timestamp``)."""
     return F.date_format(_c(ts), ISO_MICROS)

@@ -2,8 +2,9 @@
 
     python -m trend_engine.jobs produce   --items PATH --out PATH [--fmt file|kafka] [--opt k=v ...]
     python -m trend_engine.jobs ingest    --source file|kafka --path PATH [--opt k=v ...] --store ROOT
-                                          --checkpoint DIR [--once]
+                                          --checkpoint DIR [--once] [--raw PATH]
     python -m trend_engine.jobs topics    (same options as ingest)
+    python -m trend_engine.jobs hourly    --raw PATH --out PATH
     python -m trend_engine.jobs analytics --store ROOT --out PATH
     python -m trend_engine.jobs report    --store ROOT --out ROOT
     python -m trend_engine.jobs compact   --store ROOT
@@ -18,16 +19,17 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from trend_engine.operators.aggregates import author_leaderboard, tier_distribution
+from trend_engine.operators.aggregates import author_leaderboard, hourly_rollup, tier_distribution
 from trend_engine.operators.views import top_viral_posts
 from trend_engine.plans import reports
 from trend_engine.plans.produce import messages_from_items
 from trend_engine.session import use_utc
 from trend_engine.sources import store
+from trend_engine.sources.catalog import observations, raw_posts, write_hourly
 from trend_engine.sources.items import read_items
 from trend_engine.sources.messages import publish_posts, read_posts_stream
 from trend_engine.sources.outputs import write_analytics, write_report
-from trend_engine.streaming.ingest import start_ingest, start_windowed_topics
+from trend_engine.streaming.ingest import compact_topics, start_ingest, start_windowed_topics
 
 
 def _opts(pairs):
@@ -42,11 +44,19 @@ def produce(spark: SparkSession, items: str, out: str | None, fmt: str, opts: di
 
 
 def ingest(spark: SparkSession, source: str, path: str | None, opts: dict, root: str, checkpoint: str,
-           once: bool, topics: bool = False) -> None:
+           once: bool, topics: bool = False, raw_path: str | None = None) -> None:
     raw = read_posts_stream(spark, source, opts, path)
     trigger = {"availableNow": True} if once else None
-    start = start_windowed_topics if topics else start_ingest
-    start(raw, root, checkpoint, trigger=trigger).awaitTermination()
+    if topics:
+        q = start_windowed_topics(raw, root, checkpoint, trigger=trigger)
+    else:
+        q = start_ingest(raw, root, checkpoint, trigger=trigger, raw_path=raw_path)
+    q.awaitTermination()
+
+
+def hourly(spark: SparkSession, raw_path: str, out: str) -> None:
+    """Hourly rollup of every stored observation into the ORC hourly table."""
+    write_hourly(hourly_rollup(observations(raw_posts(spark, raw_path))), out)
 
 
 def analytics(spark: SparkSession, root: str, out: str | None) -> None:
@@ -67,7 +77,8 @@ def report(spark: SparkSession, root: str, out: str) -> None:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="trend_engine.jobs")
-    ap.add_argument("job", choices=["produce", "ingest", "topics", "analytics", "report", "compact"])
+    ap.add_argument("job", choices=["produce", "ingest", "topics", "hourly", "analytics", "report", "compact"])
+    ap.add_argument("--raw")
     ap.add_argument("--items")
     ap.add_argument("--out")
     ap.add_argument("--fmt", default="file")
@@ -83,13 +94,17 @@ def main(argv=None) -> None:
     if a.job == "produce":
         produce(spark, a.items, a.out, a.fmt, _opts(a.opt))
     elif a.job in ("ingest", "topics"):
-        ingest(spark, a.source, a.path, _opts(a.opt), a.store, a.checkpoint, a.once, topics=a.job == "topics")
+        ingest(spark, a.source, a.path, _opts(a.opt), a.store, a.checkpoint, a.once, topics=a.job == "topics",
+               raw_path=a.raw)
+    elif a.job == "hourly":
+        hourly(spark, a.raw, a.out)
     elif a.job == "analytics":
         analytics(spark, a.store, a.out)
     elif a.job == "report":
         report(spark, a.store, a.out)
     else:
         store.compact_store(spark, a.store)
+        compact_topics(spark, a.store)
 
 
 if __name__ == "__main__":

@@ -15,14 +15,38 @@ CSV_OPTS = {"header": "false", "quote": '"', "escape": '"'}
 RAW_POST_COLS = [f.name for f in RAW_POSTS.fields]
 
 
-def append_raw_posts(posts: DataFrame, path: str) -> None:
-    """Append observations to the delimited raw table (``batch`` stored as ``batch_num``)."""
-    cols = [F.col("batch").alias("batch_num") if c == "batch_num" else F.col(c) for c in RAW_POST_COLS]
-    posts.select(*cols).write.mode("append").options(**CSV_OPTS).csv(path)
+def _raw_cols(posts: DataFrame):
+    return [F.col("batch").alias("batch_num") if c == "batch_num" else F.col(c) for c in RAW_POST_COLS]
 
 
-def raw_posts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_POSTS).options(**CSV_OPTS).csv(path)
+def append_raw_posts(posts: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Append observations to the raw table (``batch`` stored as ``batch_num``).
+
+    ``csv`` is the declared delimited format; ``parquet`` gives column pruning and pushdown,
+    which a raw table at scale needs.
+    """
+    w = posts.select(*_raw_cols(posts)).write.mode("append")
+    (w.options(**CSV_OPTS).csv(path) if fmt == "csv" else w.format(fmt).save(path))
+
+
+def write_raw_epoch(posts: DataFrame, path: str, run: str, epoch: int, fmt: str = "csv") -> None:
+    """One micro-batch's observations into ``run=<run>/epoch=<n>`` (overwrite: replay-safe)."""
+    w = posts.select(*_raw_cols(posts)).write.mode("overwrite")
+    target = f"{path.rstrip('/')}/run={run}/epoch={epoch}"
+    (w.options(**CSV_OPTS).csv(target) if fmt == "csv" else w.format(fmt).save(target))
+
+
+def raw_posts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """The raw table (flat, or laid out per run/epoch by the stream)."""
+    r = spark.read.schema(RAW_POSTS).option("basePath", path).option("recursiveFileLookup", "false")
+    df = r.options(**CSV_OPTS).csv(path) if fmt == "csv" else r.format(fmt).load(path)
+    return df.select(*RAW_POST_COLS)
+
+
+def observations(raw: DataFrame) -> DataFrame:
+    """Raw-table rows in the observation shape the rollups take (``batch``, ``observed_at``)."""
+    from trend_engine.functions.timefmt import parse_iso_utc
+    return raw.withColumnRenamed("batch_num", "batch").withColumn("observed_at", parse_iso_utc("timestamp"))
 
 
 def write_hourly(rollup: DataFrame, path: str) -> None:

@@ -21,6 +21,12 @@ from trend_engine.schema import TRENDING_TOPICS
 from trend_engine.sources import store
 from trend_engine.sources.messages import parse_posts
 
+TOPICS_LOG_SCHEMA = StructType(list(TRENDING_TOPICS.fields) + [
+    StructField("ingested_at", TimestampType()), StructField("run", StringType()),
+    StructField("epoch", LongType())])
+TOPIC_KEYS = ["topic", "window_start"]
+TOPIC_ORDER = ["ingested_at", "epoch"]
+
 # Trigger interval, window size and watermark.
 TRIGGER = {"processingTime": "15 seconds"}
 WINDOW = "1 hour"
@@ -59,11 +65,19 @@ class _EpochSink:
 
 
 class ViralSink(_EpochSink):
-    """Viral rows → keyed log (replay-safe); counters → stats log."""
+    """Viral rows → keyed log (replay-safe); counters → stats log; optionally every observation
+    → the raw table (per epoch, so also replay-safe)."""
+
+    def __init__(self, root: str, checkpoint: str, raw_path: str | None = None, raw_fmt: str = "csv"):
+        super().__init__(root, checkpoint)
+        self.raw_path, self.raw_fmt = raw_path, raw_fmt
 
     def write(self, batch, run, epoch, stamp):
         store.upsert_viral(batch, self.root, run, epoch)
         store.upsert_stats(batch, self.root, run, epoch, stamp)
+        if self.raw_path:
+            from trend_engine.sources.catalog import write_raw_epoch
+            write_raw_epoch(batch, self.raw_path, run, epoch, self.raw_fmt)
 
 
 class TopicSink(_EpochSink):
@@ -80,10 +94,12 @@ def _start(df: DataFrame, sink, name: str, checkpoint: str, mode: str, trigger:
 
 
 def start_ingest(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-                 name: str = "post_ingest") -> StreamingQuery:
-    """Parse the message stream and upsert viral posts and batch counters per micro-batch."""
+                 name: str = "post_ingest", raw_path: str | None = None,
+                 raw_fmt: str = "csv") -> StreamingQuery:
+    """Parse the message stream and upsert viral posts and batch counters per micro-batch
+    (and, with ``raw_path``, keep every observation in the raw table)."""
     parsed = parse_posts(raw)
-    return _start(parsed, ViralSink(root, checkpoint), name, checkpoint, "append", trigger)
+    return _start(parsed, ViralSink(root, checkpoint, raw_path, raw_fmt), name, checkpoint, "append", trigger)
 
 
 def start_windowed_topics(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
@@ -101,9 +117,12 @@ def start_windowed_topics(raw: DataFrame, root: str, checkpoint: str, trigger: d
 
 def topics_latest(spark: SparkSession, root: str) -> DataFrame:
     """Current value of every (topic, window_start) from the topics log."""
-    schema = StructType(list(TRENDING_TOPICS.fields) + [
-        StructField("ingested_at", TimestampType()), StructField("run", StringType()),
-        StructField("epoch", LongType())])
-    log = store._read_log(spark, root, store.TOPICS_LOG, schema)
-    return latest_per_key(log, ["topic", "window_start"], ["ingested_at", "epoch"],
+    from trend_engine.sources.compaction import read_compacted
+    rows = read_compacted(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA)
+    return latest_per_key(rows, TOPIC_KEYS, TOPIC_ORDER,
                           ["post_count", "avg_score", "avg_viral_score", "total_comments"])
+
+
+def compact_topics(spark: SparkSession, root: str) -> int | None:
+    from trend_engine.sources.compaction import compact
+    return compact(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA, TOPIC_KEYS, TOPIC_ORDER)
