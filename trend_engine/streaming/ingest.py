@@ -34,7 +34,13 @@ WATERMARK = "2 hours"
 
 
 class _EpochSink:
-    """Base ``foreachBatch`` callable: resolves the run id and stamps the ingest time."""
+    """Base ``foreachBatch`` callable: resolves the run id and stamps the ingest time.
+
+    With ``skip_empty`` an empty micro-batch writes nothing; the check runs before the batch is
+    persisted, which is cheap for a stateless plan (it stops at the first row).
+    """
+
+    skip_empty = True
 
     def __init__(self, root: str, checkpoint: str):
         self.root = root.rstrip("/")
@@ -50,15 +56,20 @@ class _EpochSink:
         return self._run
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
+        if self.skip_empty and batch.isEmpty():
             return  # empty micro-batch: nothing written, counters unchanged
         spark = batch.sparkSession
         stamp = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
-        stamped = batch.withColumn("ingested_at", stamp).persist()
+        stamped = batch.withColumn("ingested_at", stamp)
+        if not self.single_write:
+            stamped = stamped.persist()
         try:
             self.write(stamped, self.run_id(spark), int(epoch_id), stamp)
         finally:
-            stamped.unpersist()
+            if not self.single_write:
+                stamped.unpersist()
+
+    single_write = False
 
     def write(self, batch: DataFrame, run: str, epoch: int, stamp) -> None:
         raise NotImplementedError
@@ -81,7 +92,14 @@ class ViralSink(_EpochSink):
 
 
 class TopicSink(_EpochSink):
-    """Updated (topic, window) aggregates → topics log."""
+    """Updated (topic, window) aggregates → topics log.
+
+    One action per epoch: the batch is the output of a stateful aggregate, so an emptiness check
+    or a cache would run the aggregation twice; an empty epoch just writes an empty directory.
+    """
+
+    skip_empty = False
+    single_write = True
 
     def write(self, batch, run, epoch, stamp):
         batch.write.mode("overwrite").parquet(store.epoch_path(self.root, store.TOPICS_LOG, run, epoch))
