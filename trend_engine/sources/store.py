@@ -76,9 +76,11 @@ def _read_log(spark: SparkSession, root: str, table: str, schema: StructType) ->
 
 
 def store_exists(spark: SparkSession, root: str) -> bool:
-    """True when the store has a viral log (guarded read, no filesystem API)."""
+    """True when the store has a viral log (a guarded read with the declared schema: it lists
+    the directory but reads no file footers)."""
+    path = f"{root.rstrip('/')}/{VIRAL_LOG}"
     try:
-        spark.read.option("basePath", f"{root}/{VIRAL_LOG}").parquet(f"{root}/{VIRAL_LOG}").schema  # noqa: B018
+        spark.read.schema(VIRAL_LOG_SCHEMA).option("basePath", path).parquet(path)
         return True
     except AnalysisException:
         return False
