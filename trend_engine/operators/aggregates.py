@@ -78,9 +78,14 @@ def stat_rows(counts: DataFrame, epoch_col: str = "epoch", time_col: str = "upda
 
 
 def stats_map(stats: DataFrame) -> DataFrame:
-    """Fold the (keyed, hence small) stats table into one ``map<string,string>`` row."""
+    """Fold the stats table into one ``map<string,string>`` row.
+
+    The rows are first reduced to one per ``stat_key`` (latest ``updated_at``), so what is
+    collected is bounded by the number of distinct keys even if a raw log is passed in.
+    """
+    keyed = stats.groupBy("stat_key").agg(F.max_by("stat_value", "updated_at").alias("stat_value"))
     entries = F.array_sort(F.collect_list(F.struct("stat_key", "stat_value")))
-    return stats.agg(F.map_from_entries(entries).alias("pipeline_stats"))
+    return keyed.agg(F.map_from_entries(entries).alias("pipeline_stats"))
 
 
 def stat_lookup(map_col: Column, key: str, default: str) -> Column:
