@@ -65,6 +65,15 @@ def upsert_stats(batch: DataFrame, root: str, run: str, epoch: int, ingested_at:
     stat_rows(counts).write.mode("overwrite").parquet(epoch_path(root, STATS_LOG, run, epoch))
 
 
+def write_stats_values(spark: SparkSession, root: str, run: str, epoch: int, total: int, viral: int,
+                       at) -> None:
+    """The same counter rows from values already observed during the batch's write."""
+    rows = [("total_processed", str(total), at), ("viral_detected", str(viral), at),
+            ("last_batch_time", str(epoch), at)]
+    spark.createDataFrame(rows, PIPELINE_STATS).write.mode("overwrite").parquet(
+        epoch_path(root, STATS_LOG, run, epoch))
+
+
 def _read_log(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
     path = f"{root.rstrip('/')}/{table}"
     try:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -59,7 +59,8 @@ class _EpochSink:
         if self.skip_empty and batch.isEmpty():
             return  # empty micro-batch: nothing written, counters unchanged
         spark = batch.sparkSession
-        stamp = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+        self.now = dt.datetime.now(dt.timezone.utc)
+        stamp = F.lit(self.now).cast("timestamp")
         stamped = batch.withColumn("ingested_at", stamp)
         if not self.single_write:
             stamped = stamped.persist()
@@ -77,18 +78,34 @@ class _EpochSink:
 
 class ViralSink(_EpochSink):
     """Viral rows → keyed log (replay-safe); counters → stats log; optionally every observation
-    → the raw table (per epoch, so also replay-safe)."""
+    → the raw table (per epoch, so also replay-safe).
+
+    The counters are observed (``DataFrame.observe``) during the pass that writes the batch, so
+    without a raw table each micro-batch is read once and never cached. A batch with no rows
+    writes no counters (the emptiness check is that observed total).
+    """
+
+    skip_empty = False
 
     def __init__(self, root: str, checkpoint: str, raw_path: str | None = None, raw_fmt: str = "csv"):
         super().__init__(root, checkpoint)
         self.raw_path, self.raw_fmt = raw_path, raw_fmt
+        self.single_write = raw_path is None
 
     def write(self, batch, run, epoch, stamp):
-        store.upsert_viral(batch, self.root, run, epoch)
-        store.upsert_stats(batch, self.root, run, epoch, stamp)
+        obs = Observation(f"batch_counts_{run}_{epoch}")
+        observed = batch.observe(obs, F.count(F.lit(1)).alias("total"),
+                                 F.count_if(F.col("is_viral")).alias("viral"))
         if self.raw_path:
             from trend_engine.sources.catalog import write_raw_epoch
-            write_raw_epoch(batch, self.raw_path, run, epoch, self.raw_fmt)
+            write_raw_epoch(observed, self.raw_path, run, epoch, self.raw_fmt)  # the full pass
+            store.upsert_viral(batch, self.root, run, epoch)
+        else:
+            store.upsert_viral(observed, self.root, run, epoch)  # observe sits before the filter
+        counts = obs.get
+        if counts["total"]:
+            store.write_stats_values(batch.sparkSession, self.root, run, epoch, counts["total"],
+                                     counts["viral"], self.now)
 
 
 class TopicSink(_EpochSink):
