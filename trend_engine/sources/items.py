@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trend_engine.functions.scoring import assign_topic_sql
 from trend_engine.schema import RAW_ITEM
@@ -26,9 +27,7 @@ def land_items(items: DataFrame, path: str) -> None:
 def read_items(spark: SparkSession, path: str, stream: bool = False, extra_fields=None) -> DataFrame:
     """JSON-lines items with a fixed schema (no inference). ``extra_fields`` are appended
     (e.g. ``batch``/``list_rank``/``observed_at`` written by the landing job)."""
-    schema = RAW_ITEM
-    for f in extra_fields or []:
-        schema = schema.add(f)
+    schema = StructType(list(RAW_ITEM.fields) + list(extra_fields or []))  # a copy: add() mutates
     reader = spark.readStream if stream else spark.read
     return reader.schema(schema).option("timestampFormat", JSON_TS_FORMAT).json(path)
 
