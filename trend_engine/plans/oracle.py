@@ -230,6 +230,15 @@ SQL["stream_viral_latest"] = SQL["viral_posts_latest"]
 SQL["stream_ingest_counts"] = _q("SELECT count(*) AS total_processed, "
                                  "CAST(count_if(is_viral) AS BIGINT) AS viral_detected FROM posts")
 SQL["stream_windowed_topics"] = SQL["windowed_topics"]
+SQL["compacted_viral_latest"] = SQL["viral_posts_latest"]
+# The replay lands 4 drops of consecutive polls, one micro-batch each (epochs 0-3); the counters
+# are those of the last drop.
+SQL["stream_pipeline_stats"] = _q("""
+, bounds AS (SELECT min(batch) AS lo, (max(batch) - min(batch)) // 4 + 1 AS step FROM posts),
+last_drop AS (SELECT * FROM posts WHERE batch >= (SELECT lo + 3 * step FROM bounds))
+SELECT 'total_processed' AS stat_key, CAST(count(*) AS VARCHAR) AS stat_value FROM last_drop
+UNION ALL SELECT 'viral_detected', CAST(count_if(is_viral) AS VARCHAR) FROM last_drop
+UNION ALL SELECT 'last_batch_time', '3'""")
 SQL["raw_posts_topic_view"] = SQL["topic_leaderboard"]
 SQL["raw_posts_viral_view"] = SQL["viral_posts_view"]
 SQL["hourly_stats_orc"] = SQL["hourly_rollup"]

@@ -47,6 +47,19 @@ def q_stream_ingest_counts(spark, sf) -> DataFrame:
     return store.cumulative_counts(spark, root).select("total_processed", "viral_detected")
 
 
+def q_stream_pipeline_stats(spark, sf) -> DataFrame:
+    """Counters left by the last micro-batch (last-batch meaning; the epoch id as last batch)."""
+    root = replay_stream(spark, sf)
+    return store.stats_latest(spark, root).select("stat_key", "stat_value")
+
+
+def q_compacted_viral_latest(spark, sf) -> DataFrame:
+    """The keyed table read through a compacted snapshot plus the newest epoch."""
+    root = replay_stream(spark, sf)
+    store.compact_store(spark, root)
+    return store.viral_latest(spark, root).withColumn("timestamp", iso_utc("timestamp"))
+
+
 def q_stream_windowed_topics(spark, sf) -> DataFrame:
     root = replay_stream(spark, sf, topics=True)
     return topics_latest(spark, root).withColumn("window_start",
@@ -81,6 +94,8 @@ STORED = {
     "stream_viral_latest": q_stream_viral_latest,
     "stream_ingest_counts": q_stream_ingest_counts,
     "stream_windowed_topics": q_stream_windowed_topics,
+    "stream_pipeline_stats": q_stream_pipeline_stats,
+    "compacted_viral_latest": q_compacted_viral_latest,
     "raw_posts_topic_view": q_raw_posts_topic_view,
     "raw_posts_viral_view": q_raw_posts_viral_view,
     "hourly_stats_orc": q_hourly_stats_orc,
