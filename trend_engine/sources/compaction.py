@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from trend_engine.operators.latest import latest_per_key
+from trend_engine.sources.logs import read_or_empty
 
 MANIFEST = StructType([StructField("version", LongType()), StructField("run", StringType()),
                        StructField("epoch_upto", LongType())])
@@ -31,16 +32,10 @@ def _paths(root: str, table: str) -> tuple[str, str, str]:
     return f"{root}/{table}", f"{root}/{table}_snapshot", f"{root}/{table}_manifest"
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    from trend_engine.sources.store import _read_log  # shared guarded reader (missing → empty)
-    root, name = path.rsplit("/", 1)
-    return _read_log(spark, root, name, schema)
-
-
 def current_manifest(spark: SparkSession, root: str, table: str) -> tuple[int | None, dict[str, int]]:
     """Newest version and its per-run fold boundary (one small row per run)."""
     _, _, man = _paths(root, table)
-    m = _read(spark, man, MANIFEST)
+    m = read_or_empty(spark, man, MANIFEST)
     newest = m.agg(F.max("version")).first()[0]
     if newest is None:
         return None, {}
@@ -62,7 +57,7 @@ def read_compacted(spark: SparkSession, root: str, table: str, schema: StructTyp
     """Snapshot ∪ unfolded log, with the log's columns (ready for latest-per-key)."""
     log_path, snap_path, _ = _paths(root, table)
     version, folded = current_manifest(spark, root, table)
-    log = _read(spark, log_path, schema)
+    log = read_or_empty(spark, log_path, schema)
     if version is None:
         return log
     snap = spark.read.schema(schema).parquet(f"{snap_path}/v={version}")
@@ -77,7 +72,7 @@ def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys
     """
     log_path, snap_path, man_path = _paths(root, table)
     version, folded = current_manifest(spark, root, table)
-    log = _read(spark, log_path, schema)
+    log = read_or_empty(spark, log_path, schema)
     bounds = {r.run: int(r.upto) for r in
               log.groupBy("run").agg((F.max("epoch") - 1).alias("upto")).collect()}
     bounds = {run: upto for run, upto in bounds.items() if upto >= 0}

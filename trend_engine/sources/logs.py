@@ -1,0 +1,22 @@
+"""Shared pieces of the per-epoch log layout: paths and a guarded reader."""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+def epoch_path(root: str, table: str, run: str, epoch: int) -> str:
+    return f"{root.rstrip('/')}/{table}/run={run}/epoch={epoch}"
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet under ``path`` (partition columns discovered below it) with a declared schema,
+    or an empty frame of that schema when nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise

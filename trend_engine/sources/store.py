@@ -24,6 +24,7 @@ from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, S
 
 from trend_engine.operators.aggregates import batch_counts, stat_rows
 from trend_engine.operators.latest import latest_per_key
+from trend_engine.sources.logs import epoch_path, read_or_empty
 from trend_engine.schema import PIPELINE_STATS, VIRAL_FIELDS, VIRAL_POSTS
 
 VIRAL_LOG = "viral_log"
@@ -39,10 +40,6 @@ STATS_LOG_SCHEMA = StructType(list(PIPELINE_STATS.fields) + RUN_EPOCH)
 VIRAL_ORDER = ["ingested_at", "batch_num", "partition", "offset", "epoch"]
 
 
-def epoch_path(root: str, table: str, run: str, epoch: int) -> str:
-    return f"{root.rstrip('/')}/{table}/run={run}/epoch={epoch}"
-
-
 def _viral_rows(batch: DataFrame) -> DataFrame:
     meta = [F.col(c).cast(t).alias(c) if c in batch.columns else F.lit(None).cast(t).alias(c)
             for c, t in (("partition", "int"), ("offset", "bigint"))]
@@ -74,14 +71,8 @@ def write_stats_values(spark: SparkSession, root: str, run: str, epoch: int, tot
         epoch_path(root, STATS_LOG, run, epoch))
 
 
-def _read_log(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
-    path = f"{root.rstrip('/')}/{table}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+def read_log(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    return read_or_empty(spark, f"{root.rstrip('/')}/{table}", schema)
 
 
 def store_exists(spark: SparkSession, root: str) -> bool:
@@ -96,7 +87,7 @@ def store_exists(spark: SparkSession, root: str) -> bool:
 
 
 def viral_log(spark: SparkSession, root: str) -> DataFrame:
-    return _read_log(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA)
+    return read_log(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA)
 
 
 def viral_latest(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
@@ -131,7 +122,7 @@ def compact_store(spark: SparkSession, root: str) -> dict[str, int | None]:
 
 def cumulative_counts(spark: SparkSession, root: str) -> DataFrame:
     """Totals over every stored batch (the 'total processed' figure as a true total)."""
-    log = _read_log(spark, root, STATS_LOG, STATS_LOG_SCHEMA)
+    log = read_log(spark, root, STATS_LOG, STATS_LOG_SCHEMA)
     val = F.col("stat_value").cast("bigint")
     return log.agg(
         F.coalesce(F.sum(F.when(F.col("stat_key") == "total_processed", val)), F.lit(0)).alias("total_processed"),
