@@ -23,7 +23,7 @@ from trend_engine.operators.aggregates import author_leaderboard, hourly_rollup,
 from trend_engine.operators.views import top_viral_posts
 from trend_engine.plans import reports
 from trend_engine.plans.produce import messages_from_items
-from trend_engine.session import use_utc
+from trend_engine.session import shared_root, use_utc
 from trend_engine.sources import store
 from trend_engine.sources.catalog import observations, raw_posts, write_hourly
 from trend_engine.sources.items import read_items
@@ -60,8 +60,14 @@ def hourly(spark: SparkSession, raw_path: str, out: str) -> None:
 
 
 def analytics(spark: SparkSession, root: str, out: str | None) -> None:
-    """The batch analytics run: tier distribution, top posts, author leaderboard, counters, JSON."""
+    """The batch analytics run: tier distribution, top posts, author leaderboard, counters, JSON.
+
+    Five actions read the serving table, so it is computed once and checkpointed to the shared
+    checkpoint folder (reliable: a lost executor does not send the job back to the raw log).
+    """
+    shared_root(spark)
     serving, stats = store.load_serving(spark, root)
+    serving = serving.checkpoint(eager=True)
     tier_distribution(serving).show(truncate=False)
     top_viral_posts(serving, 5).show(truncate=False)
     author_leaderboard(serving, 5).show(truncate=False)
