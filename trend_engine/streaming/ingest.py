@@ -3,7 +3,7 @@
 Both use ``foreachBatch`` with per-epoch overwrite (see ``sources.store``), an explicit
 ``checkpointLocation`` and ``queryName`` per query, and a 15 s processing-time trigger by
 default (``availableNow`` for tests and backfills). Nothing row-shaped reaches the driver:
-each micro-batch is persisted once, checked for emptiness, and written by executors.
+executors write each micro-batch; the only values the driver sees are observed counters.
 """
 
 from __future__ import annotations
@@ -36,11 +36,13 @@ WATERMARK = "2 hours"
 class _EpochSink:
     """Base ``foreachBatch`` callable: resolves the run id and stamps the ingest time.
 
-    With ``skip_empty`` an empty micro-batch writes nothing; the check runs before the batch is
-    persisted, which is cheap for a stateless plan (it stops at the first row).
+    ``skip_empty``: return early on an empty micro-batch (the check stops at the first row).
+    ``single_write``: the subclass reads the batch in one action, so it is not cached;
+    otherwise the batch is persisted for its several writes and released afterwards.
     """
 
     skip_empty = True
+    single_write = False
 
     def __init__(self, root: str, checkpoint: str):
         self.root = root.rstrip("/")
@@ -70,8 +72,6 @@ class _EpochSink:
             if not self.single_write:
                 stamped.unpersist()
 
-    single_write = False
-
     def write(self, batch: DataFrame, run: str, epoch: int, stamp) -> None:
         raise NotImplementedError
 
