@@ -42,3 +42,16 @@ def test_latest_per_key_order_free(spark, rows, seed):
     for df in (a, b):
         got = {r.k: r.o for r in latest_per_key(df.selectExpr("k", "o", "o AS v"), ["k"], ["o"], ["v", "o"]).collect()}
         assert got == want
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(0, 100_000), min_size=1, max_size=40), st.integers(1, 6))
+def test_exact_cents_mean_is_half_up_and_partition_free(spark, cents, parts):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from trend_engine.functions.exact import mean_exact, mean_round2
+    df = spark.createDataFrame([(c / 100,) for c in cents], "viral_score double").repartition(parts)
+    r = df.agg(mean_round2("viral_score").alias("r2"), mean_exact("viral_score").alias("m")).first()
+    exact = Decimal(sum(cents)) / Decimal(100 * len(cents))
+    assert r.r2 == float(exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    assert r.m == sum(cents) / (100 * len(cents))
