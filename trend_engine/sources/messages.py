@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from trend_engine.functions.timefmt import parse_iso_utc
 from trend_engine.schema import MESSAGE_FIELDS, POST_MESSAGE, PUBLISHED_FIELDS
 
-# Topic name and Kafka defaults.
-POSTS_TOPIC = "viralscope_posts"
+# Kafka defaults; the topic is configurable (``subscribe`` / ``topic`` options).
+POSTS_TOPIC = "trend_posts"
 KAFKA_DEFAULTS = {"subscribe": POSTS_TOPIC, "startingOffsets": "latest"}
 JSON_OPTS = {"ignoreNullFields": "false"}
 
