@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from trend_engine.sources.messages import envelope
 
 
-def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: int = 2) -> int:
+def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: int | None = None,
+                  rows_per_file: int = 1_000_000) -> int:
     """Write ``posts`` as message files in ``drops`` poll ranges; returns files per drop.
 
-    Only the poll range bounds (one scalar aggregate) reach the driver.
+    Every drop gets the same number of files (by default sized to ~``rows_per_file`` rows each,
+    so a large replay is written by many tasks), which makes ``maxFilesPerTrigger`` = that
+    number take exactly one drop per micro-batch. Only the poll range bounds and the row count
+    (one scalar aggregate) reach the driver.
     """
-    lo, hi = posts.agg(F.min("batch"), F.max("batch")).first()
+    lo, hi, n = posts.agg(F.min("batch"), F.max("batch"), F.count(F.lit(1))).first()
+    if files_per_drop is None:
+        files_per_drop = max(1, -(-n // (drops * rows_per_file)))
     if lo is None:
         return files_per_drop
     step = (hi - lo) // drops + 1
