@@ -13,11 +13,13 @@ def viral_posts_view(raw_posts: DataFrame) -> DataFrame:
     """Observations scoring above the threshold, 6 columns, highest score first.
 
     The sort is kept for callers that read the view in order; an outer aggregate or top-k
-    makes Catalyst drop it.
+    makes Catalyst drop it. Ties go by id, then observation time, so the range-partitioned sort
+    keys are (nearly) unique and one post observed many times at one score cannot pile into a
+    single sort task.
     """
     return (raw_posts.filter(F.col("viral_score") > F.lit(VIRAL_THRESHOLD))
                      .select("id", "title", "score", "viral_score", "author", "timestamp")
-                     .orderBy(F.desc("viral_score"), F.asc("id")))
+                     .orderBy(F.desc("viral_score"), F.asc("id"), F.asc("timestamp")))
 
 
 def top_viral_posts(serving: DataFrame, k: int = 5) -> DataFrame:
