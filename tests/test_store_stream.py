@@ -9,7 +9,7 @@ from trend_engine.operators.aggregates import windowed_topics
 from trend_engine.session import scratch_dir
 from trend_engine.sources import store
 from trend_engine.sources.messages import parse_posts, read_posts_stream
-from trend_engine.streaming.files import land_messages
+from trend_engine.streaming.files import land_messages, landed
 from trend_engine.streaming.ingest import ViralSink, start_ingest, start_windowed_topics, topics_latest
 
 from conftest import SF_SMALL
@@ -79,10 +79,10 @@ def test_stream_equals_batch_and_restart_resumes(spark):
     first = posts.filter("batch <= 17")
     rest = posts.filter("batch > 17")
     n = land_messages(first, f"{work}/input", drops=2)
-    raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=n)
+    raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=n)
     start_ingest(raw, f"{work}/store", f"{work}/chk", trigger=AVAILABLE_NOW, name="t_ingest_a").awaitTermination()
-    land_messages(rest, f"{work}/input", drops=2)
-    raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=n)
+    land_messages(rest, f"{work}/input", drops=2, first_drop=2)
+    raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=n)
     start_ingest(raw, f"{work}/store", f"{work}/chk", trigger=AVAILABLE_NOW, name="t_ingest_b").awaitTermination()
     got = store.viral_latest(spark, f"{work}/store")
     want = fixtures.serving_from_posts(posts)
@@ -96,7 +96,7 @@ def test_windowed_stream_equals_batch(spark):
     posts = fixtures.posts(spark, SF_SMALL)
     work = scratch_dir(spark, "topics")
     n = land_messages(posts, f"{work}/input", drops=3)
-    raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=n)
+    raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=n)
     start_windowed_topics(raw, f"{work}/store", f"{work}/chk", trigger=AVAILABLE_NOW, name="t_topics").awaitTermination()
     got = topics_latest(spark, f"{work}/store")
     want = windowed_topics(posts).select(*got.columns)
@@ -150,7 +150,7 @@ def test_forced_failure_then_restart_equals_batch(spark):
     sink = _FailOnce(f"{work}/store", f"{work}/chk", fail_epoch=1)
 
     def run():
-        raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=n)
+        raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=n)
         q = (_parse(raw).writeStream.queryName("t_fail").option("checkpointLocation", f"{work}/chk")
              .foreachBatch(sink).trigger(availableNow=True).start())
         q.awaitTermination()

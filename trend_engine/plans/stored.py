@@ -14,7 +14,7 @@ from trend_engine.operators.aggregates import hourly_rollup
 from trend_engine.session import scratch_dir, use_utc
 from trend_engine.sources import catalog, store
 from trend_engine.sources.messages import read_posts_stream
-from trend_engine.streaming.files import land_messages
+from trend_engine.streaming.files import land_messages, landed
 from trend_engine.streaming.ingest import start_ingest, start_windowed_topics, topics_latest
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -25,12 +25,12 @@ def replay_stream(spark: SparkSession, sf: str, topics: bool = False, drops: int
     use_utc(spark)
     work = scratch_dir(spark, "stream")
     files = land_messages(fixtures.posts(spark, sf), f"{work}/input", drops=drops)
-    raw = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=files)
+    raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=files)
     q = start_ingest(raw, f"{work}/store", f"{work}/chk/ingest", trigger=AVAILABLE_NOW,
                      name=f"ingest_{work[-8:]}")
     q.awaitTermination()
     if topics:
-        raw2 = read_posts_stream(spark, fmt="file", path=f"{work}/input", max_files_per_trigger=files)
+        raw2 = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=files)
         q2 = start_windowed_topics(raw2, f"{work}/store", f"{work}/chk/topics", trigger=AVAILABLE_NOW,
                                    name=f"topics_{work[-8:]}")
         q2.awaitTermination()

@@ -1,7 +1,8 @@
 """Landing post messages as JSON-lines files for the file-source path of the stream.
 
-Messages are landed in ``drops``: consecutive poll ranges, each written by its own job after
-the previous one finished, so file modification times follow poll order. With
+Messages are landed in ``drops``: consecutive poll ranges, each written by its own job (into
+its own ``drop=NNNN`` directory) after the previous one finished, so file modification times
+follow poll order. The stream reads them through the ``landed(path)`` glob. With
 ``maxFilesPerTrigger`` equal to the files per drop, each micro-batch takes one drop, in order
 (what a Kafka partition gives per key). Used to replay stored observations through the
 streaming jobs and for tests; production reads Kafka.
@@ -16,13 +17,14 @@ from trend_engine.sources.messages import envelope
 
 
 def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: int | None = None,
-                  rows_per_file: int = 1_000_000) -> int:
+                  rows_per_file: int = 1_000_000, first_drop: int = 0) -> int:
     """Write ``posts`` as message files in ``drops`` poll ranges; returns files per drop.
 
     Every drop gets the same number of files (by default sized to ~``rows_per_file`` rows each,
     so a large replay is written by many tasks), which makes ``maxFilesPerTrigger`` = that
-    number take exactly one drop per micro-batch. Only the poll range bounds and the row count
-    (one scalar aggregate) reach the driver.
+    number take exactly one drop per micro-batch. Drops are numbered from ``first_drop`` (land
+    later data into the same root with higher numbers). Only the poll range bounds and the row
+    count (one scalar aggregate) reach the driver.
     """
     lo, hi, n = posts.agg(F.min("batch"), F.max("batch"), F.count(F.lit(1))).first()
     if files_per_drop is None:
@@ -33,5 +35,11 @@ def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: i
     for i in range(drops):
         start, end = lo + i * step, lo + (i + 1) * step
         part = envelope(posts.filter((F.col("batch") >= start) & (F.col("batch") < end))).select("value")
-        part.repartition(files_per_drop).write.mode("append").text(path)
+        # each drop overwrites its own directory: re-running a failed landing is idempotent
+        part.repartition(files_per_drop).write.mode("overwrite").text(f"{path.rstrip('/')}/drop={first_drop + i:04d}")
     return files_per_drop
+
+
+def landed(path: str) -> str:
+    """The glob the file-source stream reads the landed drops from."""
+    return f"{path.rstrip('/')}/drop=*"
