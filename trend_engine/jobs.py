@@ -9,8 +9,8 @@
     python -m trend_engine.jobs report    --store ROOT --out ROOT
     python -m trend_engine.jobs compact   --store ROOT
 
-The session comes from ``spark-submit`` (cluster settings win); only the UTC session zone is
-pinned. Nothing row-shaped is collected except ``show()`` of small results.
+The session comes from ``spark-submit``; settings the submitter left unset get
+``session.CLUSTER_DEFAULTS`` (UTC zone, AQE with ~256 MB partitions, skew splitting). Nothing row-shaped is collected except ``show()`` of small results.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from trend_engine.operators.aggregates import author_leaderboard, hourly_rollup,
 from trend_engine.operators.views import top_viral_posts
 from trend_engine.plans import reports
 from trend_engine.plans.produce import messages_from_items
-from trend_engine.session import shared_root, use_utc
+from trend_engine.session import apply_cluster_defaults, shared_root, use_utc
 from trend_engine.sources import store
 from trend_engine.sources.catalog import observations, raw_posts, write_hourly
 from trend_engine.sources.items import read_items
@@ -96,6 +96,7 @@ def main(argv=None) -> None:
     ap.add_argument("--once", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"trend-engine-{a.job}").getOrCreate()
+    apply_cluster_defaults(spark)
     use_utc(spark)
     if a.job == "produce":
         produce(spark, a.items, a.out, a.fmt, _opts(a.opt))

@@ -22,6 +22,28 @@ CORE_CONF = {
 }
 
 
+# Defaults for large inputs, applied by the jobs only where the submitter set nothing:
+# ~256 MB scan splits and post-shuffle partitions, many initial shuffle partitions that AQE
+# coalesces (so a multi-TB shuffle never lands in a few huge tasks), skew splitting on.
+CLUSTER_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> None:
+    """Set each ``CLUSTER_DEFAULTS`` entry the submitter did not set (runtime SQL settings)."""
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "trend-engine", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
