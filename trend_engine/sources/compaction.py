@@ -9,7 +9,8 @@ Compaction folds settled epochs into a snapshot that already holds one row per k
 
 The newest epoch of every run is left in the log (it may still be replayed). Readers take the
 newest manifest version, read that snapshot, and read only log epochs past ``epoch_upto``
-(partition pruning on ``run``/``epoch``). Everything is a Spark job; only the manifest
+(partition pruning on ``run``/``epoch``); see ``read_latest`` for how the snapshot avoids a
+shuffle. Everything is a Spark job; only the manifest
 (one row per run) is read by the driver. A failed compaction leaves no manifest row, so readers
 never see a half-written snapshot.
 """
@@ -53,15 +54,35 @@ def _unfolded(log: DataFrame, folded: dict[str, int]) -> DataFrame:
     return log.filter(~cond)
 
 
-def read_compacted(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
-    """Snapshot ∪ unfolded log, with the log's columns (ready for latest-per-key)."""
+# Recent keys broadcast to the snapshot side only up to this many (checked with a count).
+RECENT_KEYS_BROADCAST_MAX = 1_000_000
+
+
+def read_latest(spark: SparkSession, root: str, table: str, schema: StructType, keys: list[str],
+                order: list[str], values: list[str], keep=None) -> DataFrame:
+    """Latest row per key over snapshot ∪ unfolded log, without shuffling the snapshot.
+
+    Only keys seen in the unfolded log can have changed. Their number is counted first; when it
+    is at most ``RECENT_KEYS_BROADCAST_MAX`` they are broadcast, the snapshot is split map-side
+    (anti join: unchanged rows pass through as they are; semi join: the changed keys' old rows),
+    and latest-per-key runs only over the changed keys. Beyond the bound (or with no snapshot
+    yet) it is the plain latest-per-key over everything.
+    """
     log_path, snap_path, _ = _paths(root, table)
     version, folded = current_manifest(spark, root, table)
-    log = read_or_empty(spark, log_path, schema)
+    log = _unfolded(read_or_empty(spark, log_path, schema), folded)
+    if keep is not None:
+        log = log.filter(keep)
     if version is None:
-        return log
+        return latest_per_key(log, keys, order, values)
     snap = spark.read.schema(schema).parquet(f"{snap_path}/v={version}")
-    return snap.unionByName(_unfolded(log, folded))
+    recent = log.select(*keys).distinct()
+    if recent.count() > RECENT_KEYS_BROADCAST_MAX:
+        return latest_per_key(snap.unionByName(log), keys, order, values)
+    recent = F.broadcast(recent)
+    unchanged = snap.join(recent, keys, "left_anti").select(*keys, *values)
+    changed = latest_per_key(snap.join(recent, keys, "left_semi").unionByName(log), keys, order, values)
+    return unchanged.unionByName(changed)
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys: list[str],

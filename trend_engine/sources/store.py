@@ -23,7 +23,6 @@ from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, S
                                TimestampType)
 
 from trend_engine.operators.aggregates import batch_counts, stat_rows
-from trend_engine.operators.latest import latest_per_key
 from trend_engine.sources.logs import epoch_path, read_or_empty
 from trend_engine.schema import PIPELINE_STATS, VIRAL_FIELDS, VIRAL_POSTS
 
@@ -96,10 +95,10 @@ def viral_latest(spark: SparkSession, root: str, columns: list[str] | None = Non
     Reads the compacted snapshot plus the epochs logged since. ``columns`` limits the fields
     carried through the aggregate (and so read from storage).
     """
-    from trend_engine.sources.compaction import read_compacted
+    from trend_engine.sources.compaction import read_latest
     values = [c for c in VIRAL_FIELDS[1:] if columns is None or c in columns]
-    rows = read_compacted(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA).filter(F.col("keyed"))
-    return latest_per_key(rows, ["id"], VIRAL_ORDER, values)
+    return read_latest(spark, root, VIRAL_LOG, VIRAL_LOG_SCHEMA, ["id"], VIRAL_ORDER, values,
+                       keep=F.col("keyed"))
 
 
 STATS_ORDER = ["updated_at", "epoch"]
@@ -107,9 +106,9 @@ STATS_ORDER = ["updated_at", "epoch"]
 
 def stats_latest(spark: SparkSession, root: str) -> DataFrame:
     """The keyed counters table: the latest value of every stat key."""
-    from trend_engine.sources.compaction import read_compacted
-    rows = read_compacted(spark, root, STATS_LOG, STATS_LOG_SCHEMA)
-    return latest_per_key(rows, ["stat_key"], STATS_ORDER, ["stat_value", "updated_at"])
+    from trend_engine.sources.compaction import read_latest
+    return read_latest(spark, root, STATS_LOG, STATS_LOG_SCHEMA, ["stat_key"], STATS_ORDER,
+                       ["stat_value", "updated_at"])
 
 
 def compact_store(spark: SparkSession, root: str) -> dict[str, int | None]:

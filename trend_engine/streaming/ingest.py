@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from trend_engine.operators.aggregates import windowed_topics
-from trend_engine.operators.latest import latest_per_key
 from trend_engine.schema import TRENDING_TOPICS
 from trend_engine.sources import store
 from trend_engine.sources.messages import parse_posts
@@ -152,10 +151,9 @@ def start_windowed_topics(raw: DataFrame, root: str, checkpoint: str, trigger: d
 
 def topics_latest(spark: SparkSession, root: str) -> DataFrame:
     """Current value of every (topic, window_start) from the topics log."""
-    from trend_engine.sources.compaction import read_compacted
-    rows = read_compacted(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA)
-    return latest_per_key(rows, TOPIC_KEYS, TOPIC_ORDER,
-                          ["post_count", "avg_score", "avg_viral_score", "total_comments"])
+    from trend_engine.sources.compaction import read_latest
+    return read_latest(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA, TOPIC_KEYS, TOPIC_ORDER,
+                       ["post_count", "avg_score", "avg_viral_score", "total_comments"])
 
 
 def compact_topics(spark: SparkSession, root: str) -> int | None:
