@@ -163,3 +163,19 @@ def test_forced_failure_then_restart_equals_batch(spark):
     assert _sorted(got) == _sorted(want.select(*got.columns))
     c = store.cumulative_counts(spark, f"{work}/store").first()
     assert c.total_processed == posts.count() and c.batches == 4
+
+
+def test_incremental_read_matches_full_read(spark, monkeypatch):
+    from trend_engine.sources import compaction
+    work, sink = _sink(spark)
+    root = f"{work}/store"
+    for epoch in range(3):
+        sink(_batch(spark, [_msg(str(i), 55.0 + epoch * 3 + i, epoch + 1) for i in range(epoch, epoch + 6)]), epoch)
+    store.compact_store(spark, root)
+    sink(_batch(spark, [_msg("2", 51.0, 4), _msg("50", 90.0, 4)]), 3)
+    broadcast = _sorted(store.viral_latest(spark, root))
+    monkeypatch.setattr(compaction, "RECENT_KEYS_BROADCAST_MAX", 0)  # force the fallback
+    full = _sorted(store.viral_latest(spark, root))
+    assert broadcast == full
+    latest = {r[0]: r for r in full}
+    assert latest["2"][4] == 51.0 and latest["50"][4] == 90.0 and latest["7"][4] == 68.0
