@@ -79,9 +79,11 @@ def read_latest(spark: SparkSession, root: str, table: str, schema: StructType,
     recent = log.select(*keys).distinct()
     if recent.count() > RECENT_KEYS_BROADCAST_MAX:
         return latest_per_key(snap.unionByName(log), keys, order, values)
-    recent = F.broadcast(recent)
-    unchanged = snap.join(recent, keys, "left_anti").select(*keys, *values)
-    changed = latest_per_key(snap.join(recent, keys, "left_semi").unionByName(log), keys, order, values)
+    recent = F.broadcast(recent.select(*[F.col(k).alias(f"_r_{k}") for k in keys]))
+    # null-safe key equality: a null key (e.g. a topic missing from its message) is a key too
+    same = [snap[k].eqNullSafe(recent[f"_r_{k}"]) for k in keys]
+    unchanged = snap.join(recent, same, "left_anti").select(*keys, *values)
+    changed = latest_per_key(snap.join(recent, same, "left_semi").unionByName(log), keys, order, values)
     return unchanged.unionByName(changed)
 
 
