@@ -18,11 +18,13 @@ KAFKA_DEFAULTS = {"subscribe": POSTS_TOPIC, "startingOffsets": "latest"}
 JSON_OPTS = {"ignoreNullFields": "false"}
 
 
-def envelope(posts: DataFrame) -> DataFrame:
-    """``key`` = id (null when empty), ``value`` = the post as JSON (nulls written as null)."""
+def envelope(posts: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``key`` = id (null when empty), ``value`` = the post as JSON (nulls written as null);
+    ``keep`` columns are carried alongside."""
     fields = [F.col(c) if c in posts.columns else F.lit("").alias(c) for c in PUBLISHED_FIELDS]
     key = F.when(F.col("id").isNotNull() & (F.col("id") != F.lit("")), F.col("id"))
-    return posts.select(key.alias("key"), F.to_json(F.struct(*fields), JSON_OPTS).alias("value"))
+    return posts.select(key.alias("key"), F.to_json(F.struct(*fields), JSON_OPTS).alias("value"),
+                        *(keep or []))
 
 
 def publish_posts(posts: DataFrame, fmt: str = "kafka", options: dict | None = None,

@@ -10,6 +10,7 @@ streaming jobs and for tests; production reads Kafka.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,23 +21,31 @@ def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: i
                   rows_per_file: int = 1_000_000, first_drop: int = 0) -> int:
     """Write ``posts`` as message files in ``drops`` poll ranges; returns files per drop.
 
-    Every drop gets the same number of files (by default sized to ~``rows_per_file`` rows each,
-    so a large replay is written by many tasks), which makes ``maxFilesPerTrigger`` = that
-    number take exactly one drop per micro-batch. Drops are numbered from ``first_drop`` (land
-    later data into the same root with higher numbers). Only the poll range bounds and the row
-    count (one scalar aggregate) reach the driver.
+    The messages are built once and staged partitioned by drop (a single pass over the input),
+    then each drop is published from its own staged partition, in order, into
+    ``drop=NNNN`` (overwrite: re-running is idempotent), so file times follow poll order.
+    Every drop gets the same number of files (by default ~``rows_per_file`` rows each), which
+    makes ``maxFilesPerTrigger`` = that number take exactly one drop per micro-batch. Drops are
+    numbered from ``first_drop``. Only the poll range bounds and the row count (one scalar
+    aggregate) reach the driver.
     """
+    root = path.rstrip("/")
     lo, hi, n = posts.agg(F.min("batch"), F.max("batch"), F.count(F.lit(1))).first()
     if files_per_drop is None:
         files_per_drop = max(1, -(-n // (drops * rows_per_file)))
     if lo is None:
         return files_per_drop
     step = (hi - lo) // drops + 1
+    staging = f"{root}.staging-{first_drop:04d}"
+    drop = F.floor((F.col("batch") - F.lit(lo)) / F.lit(step)).cast("int").alias("drop")
+    envelope(posts.select("*", drop), keep=["drop"]).select("value", "drop") \
+        .write.mode("overwrite").partitionBy("drop").text(staging)
     for i in range(drops):
-        start, end = lo + i * step, lo + (i + 1) * step
-        part = envelope(posts.filter((F.col("batch") >= start) & (F.col("batch") < end))).select("value")
-        # each drop overwrites its own directory: re-running a failed landing is idempotent
-        part.repartition(files_per_drop).write.mode("overwrite").text(f"{path.rstrip('/')}/drop={first_drop + i:04d}")
+        try:
+            part = posts.sparkSession.read.text(f"{staging}/drop={i}")
+        except AnalysisException:
+            continue  # fewer polls than drops: this drop has no rows
+        part.repartition(files_per_drop).write.mode("overwrite").text(f"{root}/drop={first_drop + i:04d}")
     return files_per_drop
 
 
