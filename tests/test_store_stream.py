@@ -197,3 +197,19 @@ def test_incremental_read_null_key(spark):
     got = sorted((r.k or "", r.v) for r in read_latest(spark, work, "log", schema, ["k"], ["ingested_at", "epoch"],
                                                         ["v"]).collect())
     assert got == [("", 2.0), ("a", 12.0)]
+
+
+def test_retention_candidates_after_two_compactions(spark):
+    from trend_engine.sources.compaction import retention_candidates
+    work, sink = _sink(spark)
+    root = f"{work}/store"
+    for epoch in range(3):
+        sink(_batch(spark, [_msg(str(epoch), 70.0, epoch + 1)]), epoch)
+    store.compact_store(spark, root)                       # folds epochs 0, 1 → v=0
+    sink(_batch(spark, [_msg("9", 80.0, 4)]), 3)
+    store.compact_store(spark, root)                       # folds epoch 2 → v=1
+    rows = {(r.kind, r.path.rsplit("/", 1)[-1])
+            for r in retention_candidates(spark, root, "viral_log", store.VIRAL_LOG_SCHEMA, keep_versions=1).collect()}
+    assert rows == {("epoch", "epoch=0"), ("epoch", "epoch=1"), ("epoch", "epoch=2"), ("snapshot", "v=0")}
+    # what remains needed still gives the full answer
+    assert {r.id for r in store.viral_latest(spark, root).collect()} == {"0", "1", "2", "9"}

@@ -8,6 +8,7 @@
     python -m trend_engine.jobs analytics --store ROOT --out PATH
     python -m trend_engine.jobs report    --store ROOT --out ROOT
     python -m trend_engine.jobs compact   --store ROOT
+    python -m trend_engine.jobs retention --store ROOT [--out PATH]   (lists deletable paths)
 
 The session comes from ``spark-submit``; settings the submitter left unset get
 ``session.CLUSTER_DEFAULTS`` (UTC zone, AQE with ~256 MB partitions, skew splitting). Nothing row-shaped is collected except ``show()`` of small results.
@@ -81,9 +82,20 @@ def report(spark: SparkSession, root: str, out: str) -> None:
     write_report(reports.trend_report(serving, store.stats_latest(spark, root)), out)
 
 
+def retention(spark: SparkSession, root: str):
+    """Deletable paths of the viral, stats and topics logs after compaction."""
+    from trend_engine.sources.compaction import retention_candidates
+    from trend_engine.streaming.ingest import TOPICS_LOG_SCHEMA
+    parts = [retention_candidates(spark, root, store.VIRAL_LOG, store.VIRAL_LOG_SCHEMA),
+             retention_candidates(spark, root, store.STATS_LOG, store.STATS_LOG_SCHEMA),
+             retention_candidates(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="trend_engine.jobs")
-    ap.add_argument("job", choices=["produce", "ingest", "topics", "hourly", "analytics", "report", "compact"])
+    ap.add_argument("job", choices=["produce", "ingest", "topics", "hourly", "analytics", "report", "compact",
+                                    "retention"])
     ap.add_argument("--raw")
     ap.add_argument("--items")
     ap.add_argument("--out")
@@ -109,6 +121,12 @@ def main(argv=None) -> None:
         analytics(spark, a.store, a.out)
     elif a.job == "report":
         report(spark, a.store, a.out)
+    elif a.job == "retention":
+        paths = retention(spark, a.store)
+        if a.out:
+            paths.write.mode("overwrite").csv(a.out)
+        else:
+            paths.show(1000, truncate=False)
     else:
         store.compact_store(spark, a.store)
         compact_topics(spark, a.store)

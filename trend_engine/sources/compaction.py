@@ -115,3 +115,29 @@ def compact(spark: SparkSession, root: str, table: str, schema: StructType, keys
     spark.createDataFrame([(nxt, r, u) for r, u in new.items()], MANIFEST) \
         .write.mode("append").parquet(man_path)
     return nxt
+
+
+def retention_candidates(spark: SparkSession, root: str, table: str, schema: StructType,
+                         keep_versions: int = 2) -> DataFrame:
+    """Paths that compaction has made redundant, as rows ``(kind, path)``.
+
+    ``epoch``: log epochs folded into the newest snapshot; ``snapshot``: versions older than the
+    newest ``keep_versions`` (older readers may still hold the previous one). Deleting is left
+    to the storage's own tools; nothing here removes files.
+    """
+    log_path, snap_path, man_path = _paths(root, table)
+    version, folded = current_manifest(spark, root, table)
+    empty = spark.createDataFrame([], "kind STRING, path STRING")
+    if version is None:
+        return empty
+    log = read_or_empty(spark, log_path, schema).select("run", "epoch").distinct()
+    cond = " OR ".join(f"(run = '{r}' AND epoch <= {u})" for r, u in folded.items()) or "false"
+    epochs = log.filter(cond).select(
+        F.lit("epoch").alias("kind"),
+        F.concat(F.lit(f"{log_path}/run="), F.col("run"), F.lit("/epoch="), F.col("epoch").cast("string"))
+        .alias("path"))
+    versions = read_or_empty(spark, man_path, MANIFEST).select("version").distinct() \
+        .filter(F.col("version") <= F.lit(version - keep_versions))
+    snaps = versions.select(F.lit("snapshot").alias("kind"),
+                            F.concat(F.lit(f"{snap_path}/v="), F.col("version").cast("string")).alias("path"))
+    return epochs.unionByName(snaps)
