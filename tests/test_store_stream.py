@@ -213,3 +213,15 @@ def test_retention_candidates_after_two_compactions(spark):
     assert rows == {("epoch", "epoch=0"), ("epoch", "epoch=1"), ("epoch", "epoch=2"), ("snapshot", "v=0")}
     # what remains needed still gives the full answer
     assert {r.id for r in store.viral_latest(spark, root).collect()} == {"0", "1", "2", "9"}
+
+
+def test_compacted_read_does_not_shuffle_snapshot(spark):
+    work, sink = _sink(spark)
+    root = f"{work}/store"
+    for epoch in range(3):
+        sink(_batch(spark, [_msg(str(i), 60.0 + i, epoch + 1) for i in range(10)]), epoch)
+    store.compact_store(spark, root)
+    df = store.viral_latest(spark, root, ["viral_score"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
