@@ -55,3 +55,11 @@ def test_scan_reads_only_needed_columns(spark, name):
 def test_latest_per_key_has_partial_aggregate(spark):
     plan = QUERIES["viral_posts_latest"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join(spark, name):
+    if name.startswith(("stream_", "compacted_", "raw_posts_", "hourly_stats_")):
+        pytest.skip("writes files; its read side is covered by the oracle test")
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
