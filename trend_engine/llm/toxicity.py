@@ -75,6 +75,21 @@ def _essential(count: dict[str, int]) -> list[str]:
     return [t for t in count if (t in stems or not t.endswith("*")) and not covered(t)]
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """_id, toxic of rows (_id, text, toxic), one of each group of near copies.
+
+    Else the words of one copied text would count as often as it was copied. Rows that share the
+    smallest hash of their four-word shingles (under one of two seeds) are taken for copies.
+    """
+    words = F.split(F.lower("text"), r"\s+")
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_words") - 3, F.lit(1))), lambda i: F.slice("_words", i, 4))
+    least = lambda seed: F.array_min(F.transform("_shingles", lambda x: F.xxhash64(F.lit(seed), F.array_join(x, " "))))
+    named = rows.withColumn("_words", words).withColumn("_shingles", shingles).select("_id", "toxic", least(1).alias("a"), least(2).alias("b"))
+    once = named.groupBy("a").agg(F.min(F.struct("_id", "toxic", "b")).alias("r"))
+    once = once.groupBy("r.b").agg(F.min(F.struct("r._id", "r.toxic")).alias("r"))
+    return once.groupBy("r._id").agg(F.max("r.toxic").alias("toxic"))
+
+
 def _stems(words: Column, k: int) -> Column:
     """The first k letters of the longer words, marked as stems."""
     return F.transform(F.filter(words, lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
@@ -221,7 +236,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     named = named.groupBy(F.col("doc_id").alias("_id")).agg((F.max("toxic") > 0).cast("long").alias("toxic"))
     some = named.orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(sample)
     # At most `sample` rows of two numbers: the texts stay where they are.
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(some), "_id")
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).where("text is not null")
+    rows = rows.join(F.broadcast(_apart(rows.join(F.broadcast(some), "_id"))), "_id")
     terms = lexicon(rows)
     points = np.array([r[0] for r in _features(rows.select("text", "toxic"), terms).collect()])
     points = points.reshape(-1, len(PRIOR) + 1)
