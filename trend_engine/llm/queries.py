@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-import functools
+import importlib
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trend_engine.llm import mixing, near_dedup, toxicity
-
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_MODULES = {
+    "op3_packing": "packing",
+    "op7_mixing": "mixing",
+    "op8_near_dedup": "near_dedup",
+    "op9_toxicity": "toxicity",
+}
 
 
-def _with_package(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
+def with_package(spark: SparkSession) -> None:
     """Let Python workers started from here find this package (a cluster gets it with --py-files)."""
-    @functools.wraps(f)
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))
+
+
+def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        env = spark.sparkContext.environment
-        if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-            env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))
-        return f(spark, sf_dir)
+        with_package(spark)
+        # Imported when first run, so that a query loads its own libraries only.
+        return getattr(importlib.import_module(f"trend_engine.llm.{_MODULES[name]}"), name)(spark, sf_dir)
+    run.__name__ = name
     return run
 
 
-QUERIES = {f.__name__: _with_package(f) for f in (
-    mixing.op7_mixing,
-    near_dedup.op8_near_dedup,
-    toxicity.op9_toxicity,
-)}
+QUERIES = {name: _query(name) for name in _MODULES}
 
 ORACLE_SQL: dict[str, str] = {}
