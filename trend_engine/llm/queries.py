@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _MODULES = {
+    "op1_line_dedup": "line_dedup",
     "op3_packing": "packing",
     "op7_mixing": "mixing",
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
+    "op10_fingerprint": "fingerprint",
 }
 
 
