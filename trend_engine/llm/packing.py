@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 #: Tokens of a sequence, tokens of a group, end of a document.
 LENGTH, GROUP, END = 1024, 1 << 20, 0
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-_UNEVEN = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]$|[\x1c-\x1f\x85]")
+#: A word with or without one blank before it, nothing else.
+_PIECE = re.compile(r" ?\S+\Z")
 #: Letters and the marks after them are tokens of their own.
 _ENDING = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-^`{-~]+)\Z")
 
@@ -56,6 +57,7 @@ class Words(dict):
 
         self.model, self.most = Tokenizer.from_file(path), most
         self.model.encode_special_tokens = True
+        self.mark = self.encode(["\n"])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -63,40 +65,43 @@ class Words(dict):
     def encode_words(self, words: list[str]) -> list[bytes]:
         """As `encode`, for pieces without a line end: many in one text, a line each."""
         out: list[bytes] = []
-        mark = self.encode(["\n"])[0]
         for a in range(0, len(words), 2000):
             ids = np.frombuffer(self.encode(["\n".join(words[a : a + 2000]) + "\n"])[0], "<u4")
-            ends = 4 * np.flatnonzero(ids == np.frombuffer(mark, "<u4")[0])
+            ends = 4 * np.flatnonzero(ids == np.frombuffer(self.mark, "<u4")[0])
             raw = ids.tobytes()
             out += [raw[p:q] for p, q in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist(), strict=True)]
         return out
 
     def learn(self, words: set[str]) -> None:
+        """Fill in `words`; one that isn't a piece gets None."""
         if len(self) > self.most:
             self.clear()
-        if "\n" in words:
-            self["\n"] = self.encode(["\n"])[0]
         new = [w for w in words if w not in self]
-        split = [m.groups() if (m := _ENDING.match(w)) else None for w in new]
-        parts = {p for s in split if s for p in s if p not in self} | {w for w, s in zip(new, split, strict=True) if not s}
-        self.update(zip(parts, self.encode_words(list(parts)), strict=True))
-        self.update((w, self[s[0]] + self[s[1]]) for w, s in zip(new, split, strict=True) if s)
+        split = [m.groups() if (m := _ENDING.match(w)) else (w,) for w in new if _PIECE.match(w)]
+        parts = list({p for s in split for p in s if p not in self})
+        self.update(zip(parts, self.encode_words(parts), strict=True))
+        self.update((s[0] + s[1], self[s[0]] + self[s[1]]) for s in split if len(s) == 2)
+        self.update((w, None) for w in new if w not in self)
+        self["\n"] = self.mark
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Texts whose blanks don't stand alone are encoded directly."""
-        even = [not _UNEVEN.search(t) for t in texts]
-        parts = [self._words(t) if e else None for t, e in zip(texts, even, strict=True)]
-        self.learn({w for p in parts if p for w in p})
-        rest = iter(self.encode([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        return [b"".join(map(self.__getitem__, p)) if p is not None else next(rest) for p in parts]
+        parts = [self._words(t) for t in texts]
+        self.learn({w for p in parts for w in p})
+        out: list[bytes | None] = []
+        for p in parts:
+            found = list(map(self.__getitem__, p))
+            out.append(None if None in found else b"".join(found))
+        rest = iter(self.encode([t for t, i in zip(texts, out, strict=True) if i is None]))
+        return [next(rest) if i is None else i for i in out]
 
     @staticmethod
-    def _words(text: str) -> list[str] | None:
+    def _words(text: str) -> list[str]:
         """Pieces that are tokenised alone as they are in the text: words with the blank before
         them, single line ends, and first words of lines."""
-        if not text:
-            return []
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else None
+        if not text or "\0" in text:
+            return [""] if text else []
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 @functools.lru_cache(maxsize=1)
