@@ -50,7 +50,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Words(dict):
     """Blank-led words -> their ids as bytes (little-endian 32 bit); fills itself, a full table is emptied."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_200_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
