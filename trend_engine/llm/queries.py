@@ -8,10 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trend_engine.llm import licence
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _MODULES = {
     "op1_line_dedup": "line_dedup",
+    "op2_topk": "topk",
     "op3_packing": "packing",
+    "op4_lm_score": "lm_score",
+    "op5_licence": "licence",
+    "op6_warc": "warc",
     "op7_mixing": "mixing",
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
@@ -37,4 +43,4 @@ def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 QUERIES = {name: _query(name) for name in _MODULES}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op5_licence": licence.SQL}
