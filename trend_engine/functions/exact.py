@@ -23,10 +23,11 @@ def mean_exact(col: str) -> Column:
 
 
 def mean_round2(col: str) -> Column:
-    """``round(avg(col), 2)`` with half-up on the exact mean (non-negative scores)."""
+    """``round(avg(col), 2)`` with half-up on the exact mean (away from zero, for either sign)."""
     c = f"sum({_cents_sql(col)})"
     n = f"nullif(count({col}), 0)"
-    return F.expr(f"CAST((2 * {c} + {n}) div (2 * {n}) AS DOUBLE) / 100D")
+    # ``div`` truncates towards zero, so the magnitude is rounded and the sign put back.
+    return F.expr(f"CAST(sign({c}) * ((2 * abs({c}) + {n}) div (2 * {n})) AS DOUBLE) / 100D")
 
 
 def mean_int(col: str) -> Column:

@@ -25,7 +25,9 @@ def iso_utc(ts) -> Column:
 
 
 def parse_iso_utc(text) -> Column:
-    return F.to_timestamp(_c(text), ISO_MICROS)
+    """Instant of an ISO date and time (fraction and offset may be missing; without an offset it is
+    UTC). Null for any other text: one odd message must not stop a stream."""
+    return F.when(_c(text).rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.try_to_timestamp(_c(text)))
 
 
 def local_time(ts, zone: str = DISPLAY_ZONE) -> Column:

@@ -68,8 +68,9 @@ def _top_array(top_fields: Sequence[str]) -> Column:
 
 
 def _stats_map() -> Column:
-    return F.expr("map_from_entries(array_sort(filter(collect_list(struct(_stat.stat_key AS stat_key, "
-                  "_stat.stat_value AS stat_value)), e -> e.stat_key IS NOT NULL)))")
+    # Null for every other row, and collect_list drops nulls: only counter rows are gathered.
+    return F.expr("map_from_entries(array_sort(collect_list(CASE WHEN _stat.stat_key IS NOT NULL THEN "
+                  "struct(_stat.stat_key AS stat_key, _stat.stat_value AS stat_value) END)))")
 
 
 def _now(now) -> Column:

@@ -11,35 +11,62 @@ from pyspark.sql import functions as F
 
 from trend_engine.schema import HOURLY_STATS, RAW_POSTS
 
-CSV_OPTS = {"header": "false", "quote": '"', "escape": '"'}
+# Blanks are kept, null and empty text differ, and a line that doesn't fit stops the read.
+CSV_OPTS = {"header": "false", "quote": '"', "escape": '"', "nullValue": r"\N", "emptyValue": "",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE = {**CSV_OPTS, "emptyValue": '""'}
+CSV_READ = {**CSV_OPTS, "mode": "FAILFAST"}
 RAW_POST_COLS = [f.name for f in RAW_POSTS.fields]
+RAW_TEXT_COLS = [f.name for f in RAW_POSTS.fields if f.dataType.typeName() == "string"]
+# A file of lines can be split by readers only if no value holds a line end: these are written in
+# percent form ("%" first on the way out, last on the way in).
+CSV_ESCAPES = [("%", "%25"), ("\n", "%0A"), ("\r", "%0D"), ("\\", "%5C")]
+
+
+def _escaped(df: DataFrame) -> DataFrame:
+    for c in RAW_TEXT_COLS:
+        for plain, code in CSV_ESCAPES:
+            df = df.withColumn(c, F.replace(F.col(c), F.lit(plain), F.lit(code)))
+    return df
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    for c in RAW_TEXT_COLS:
+        for plain, code in reversed(CSV_ESCAPES):
+            df = df.withColumn(c, F.replace(F.col(c), F.lit(code), F.lit(plain)))
+    return df
 
 
 def _raw_cols(posts: DataFrame):
     return [F.col("batch").alias("batch_num") if c == "batch_num" else F.col(c) for c in RAW_POST_COLS]
 
 
+def _write_raw(posts: DataFrame, path: str, fmt: str, mode: str) -> None:
+    rows = posts.select(*_raw_cols(posts))
+    if fmt == "csv":
+        _escaped(rows).write.mode(mode).options(**CSV_WRITE).csv(path)
+    else:
+        rows.write.mode(mode).format(fmt).save(path)
+
+
 def append_raw_posts(posts: DataFrame, path: str, fmt: str = "csv") -> None:
     """Append observations to the raw table (``batch`` stored as ``batch_num``).
 
     ``csv`` is the declared delimited format; ``parquet`` gives column pruning and pushdown,
     which a raw table at scale needs.
     """
-    w = posts.select(*_raw_cols(posts)).write.mode("append")
-    (w.options(**CSV_OPTS).csv(path) if fmt == "csv" else w.format(fmt).save(path))
+    _write_raw(posts, path, fmt, "append")
 
 
 def write_raw_epoch(posts: DataFrame, path: str, run: str, epoch: int, fmt: str = "csv") -> None:
     """One micro-batch's observations into ``run=<run>/epoch=<n>`` (overwrite: replay-safe)."""
-    w = posts.select(*_raw_cols(posts)).write.mode("overwrite")
-    target = f"{path.rstrip('/')}/run={run}/epoch={epoch}"
-    (w.options(**CSV_OPTS).csv(target) if fmt == "csv" else w.format(fmt).save(target))
+    _write_raw(posts, f"{path.rstrip('/')}/run={run}/epoch={epoch}", fmt, "overwrite")
 
 
 def raw_posts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The raw table (flat, or laid out per run/epoch by the stream)."""
     r = spark.read.schema(RAW_POSTS).option("basePath", path).option("recursiveFileLookup", "false")
-    df = r.options(**CSV_OPTS).csv(path) if fmt == "csv" else r.format(fmt).load(path)
+    df = _plain(r.options(**CSV_READ).csv(path)) if fmt == "csv" else r.format(fmt).load(path)
     return df.select(*RAW_POST_COLS)
 
 

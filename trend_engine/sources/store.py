@@ -11,7 +11,7 @@ Each micro-batch overwrites exactly its own ``epoch=<n>`` directory, so a replay
 (at-least-once ``foreachBatch``) replaces itself instead of duplicating rows. ``run`` is the
 streaming query id kept in the checkpoint, so a lost checkpoint (epochs restarting at 0)
 starts a new run instead of overwriting old epochs. Readers take the latest row per key,
-ordered by (ingested_at, batch, Kafka partition, offset, epoch).
+ordered by (ingested_at, offset, batch, Kafka partition, epoch).
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ RUN_EPOCH = [StructField("run", StringType()), StructField("epoch", LongType())]
 VIRAL_LOG_SCHEMA = StructType(list(VIRAL_POSTS.fields) + LOG_META + RUN_EPOCH
                               + [StructField("keyed", BooleanType())])
 STATS_LOG_SCHEMA = StructType(list(PIPELINE_STATS.fields) + RUN_EPOCH)
-VIRAL_ORDER = ["ingested_at", "batch_num", "partition", "offset", "epoch"]
+# A key stays in one Kafka partition, so its offsets are its arrival order; the poll counter starts
+# anew with the producer and only decides where there are no offsets (file source).
+VIRAL_ORDER = ["ingested_at", "offset", "batch_num", "partition", "epoch"]
 
 
 def _viral_rows(batch: DataFrame) -> DataFrame:
