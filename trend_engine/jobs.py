@@ -8,7 +8,7 @@
     python -m trend_engine.jobs analytics --store ROOT --out PATH
     python -m trend_engine.jobs report    --store ROOT --out ROOT
     python -m trend_engine.jobs compact   --store ROOT
-    python -m trend_engine.jobs retention --store ROOT [--out PATH]   (lists deletable paths)
+    python -m trend_engine.jobs retention --store ROOT --out PATH   (lists deletable paths)
 
 The session comes from ``spark-submit``; settings the submitter left unset get
 ``session.CLUSTER_DEFAULTS`` (UTC zone, AQE with ~256 MB partitions, skew splitting). Nothing row-shaped is collected except ``show()`` of small results.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from trend_engine.operators.aggregates import author_leaderboard, hourly_rollup, tier_distribution
 from trend_engine.operators.views import top_viral_posts
@@ -74,12 +75,12 @@ def analytics(spark: SparkSession, root: str, out: str | None) -> None:
     author_leaderboard(serving, 5).show(truncate=False)
     reports.stats_listing(stats).show(truncate=False)
     if out:
-        write_analytics(reports.analytics_report(serving, stats), out)
+        write_analytics(reports.analytics_report(serving, stats, now=F.current_timestamp()), out)
 
 
 def report(spark: SparkSession, root: str, out: str) -> None:
     serving = store.viral_latest(spark, root, reports.TREND_TOP[2])
-    write_report(reports.trend_report(serving, store.stats_latest(spark, root)), out)
+    write_report(reports.trend_report(serving, store.stats_latest(spark, root), now=F.current_timestamp()), out)
 
 
 def retention(spark: SparkSession, root: str):
@@ -122,11 +123,9 @@ def main(argv=None) -> None:
     elif a.job == "report":
         report(spark, a.store, a.out)
     elif a.job == "retention":
-        paths = retention(spark, a.store)
-        if a.out:
-            paths.write.mode("overwrite").csv(a.out)
-        else:
-            paths.show(1000, truncate=False)
+        if not a.out:
+            ap.error("retention writes its list of paths: --out is needed")
+        retention(spark, a.store).write.mode("overwrite").csv(a.out)
     else:
         store.compact_store(spark, a.store)
         compact_topics(spark, a.store)
