@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import io
 import math
 import uuid
 import zlib
@@ -31,7 +30,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trend_engine.session import scratch_dir
@@ -73,16 +72,18 @@ def record(page, url: str | None, payload: bytes, digest: str, refers, nth: int)
 
 
 def _plan(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, _digest, _refers (the response's page_id, null for a response), _nth."""
+    """page_id, url, html, _digest, _refers, _own: the pages (_own 1), and ahead of each one whose
+    payload several pages have a row (_own 0) with the response's page_id."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("_digest", F.sha1(F.col("html").cast("binary")))
     # Numbers and digests only: payloads that several pages have, counted before the shuffle.
     slim = rows.where(F.octet_length("html") >= LEAST_REVISIT).select("page_id", "_digest")
     same = slim.groupBy("_digest").agg(F.max("page_id").alias("_refers"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    ids = slim.join(same, "_digest").groupBy("_digest", "_refers", "page_id").agg(F.count(F.lit(1)).alias("_rows"))
-    ids = ids.select(F.col("_digest").alias("_d"), "_refers", F.col("page_id").alias("_p"), "_rows")
-    rows = rows.join(ids, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("_digest") == F.col("_d")), "left")
-    return rows.select("page_id", "url", "html", "_digest", "_refers", F.coalesce("_rows", F.lit(1)).alias("_rows"))
+    ids = slim.join(same, "_digest").select("page_id", "_digest", "_refers").distinct()
+    # A row ahead of the page's own tells its response: the html moves once, in the range sort.
+    none = F.lit(None).cast("string")
+    ahead = ids.select("page_id", none.alias("url"), none.alias("html"), "_digest", "_refers", F.lit(0).alias("_own"))
+    return rows.select("page_id", "url", "html", "_digest", F.lit(None).cast("long").alias("_refers"), F.lit(1).alias("_own")).unionByName(ahead)
 
 
 def write(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, partition_bytes: int = PARTITION_BYTES) -> str:
@@ -90,7 +91,7 @@ def write(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, partition_b
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     rows = _plan(pages)
     parts = max(1, math.ceil(size / partition_bytes))
-    ordered = rows.repartitionByRange(parts, "page_id", "_digest").sortWithinPartitions("page_id", "_digest", "url")
+    ordered = rows.repartitionByRange(parts, "page_id", "_digest").sortWithinPartitions("page_id", "_digest", "_own", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -98,8 +99,13 @@ def write(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, partition_b
         part, attempt = task.partitionId(), task.taskAttemptId()
         files.create_dir(f"{out}/temporary", recursive=True)
         stream, done, number, written, count, before, nth = None, [], 0, 0, 0, None, 0
+        told: tuple | None = None
         for batch in batches:
-            for page, url, html, digest, refers, _ in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+            for page, url, html, digest, refers, own in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+                if not own:
+                    told = (page, digest, refers)
+                    continue
+                refers = told[2] if told and told[:2] == (page, digest) else None
                 nth = nth + 1 if (page, digest) == before else 0
                 before = (page, digest)
                 # Of rows equal in page and payload, the first is the response.
