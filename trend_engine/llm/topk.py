@@ -29,7 +29,8 @@ from trend_engine.llm._common import table
 PIVOTS, SAMPLE = 24, 512
 #: Rows of a block of vectors, of queries.
 BLOCK, QUERIES = 8192, 2048
-_SAFE = float(1 << 52)
+#: Whole numbers below these are exact in double and in single precision, in sums of any order.
+_SAFE, _SINGLE = float(1 << 52), float(1 << 24)
 
 
 def scaled(embedding: Column, factor: float = 64.0) -> Column:
@@ -59,28 +60,48 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def best(x: np.ndarray, ids: np.ndarray, dx: np.ndarray, q: np.ndarray, own: int, dq: np.ndarray, k: int, length2: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """(ids, scores, evaluated) of the k best candidates of one query, by bounds from the pivot table."""
-    bound = np.abs(dx - dq).max(1)
-    first = min(len(ids), max(4 * k, 128))
-    order = np.argpartition(bound, first - 1)[:first]
+def bounds(far: np.ndarray, dq: np.ndarray) -> np.ndarray:
+    """The largest difference to `dq` in each column of `far` (a row per pivot)."""
+    out = np.abs(far[0] - dq[0])
+    gap = np.empty_like(out)
+    for row, d in zip(far[1:], dq[1:], strict=True):
+        np.subtract(row, d, out=gap)
+        np.abs(gap, out=gap)
+        np.maximum(out, gap, out=out)
+    return out
+
+
+def best(x: np.ndarray, ids: np.ndarray, far: np.ndarray, q: np.ndarray, own: int, dq: np.ndarray, k: int, length2: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, scores, evaluated) of the k best candidates of one query, by bounds from the pivot table.
+
+    `far`: the candidates' distances, a row per pivot, in single precision; the reach is widened by
+    more than that rounding, so the stop stays exact. Scores are whole numbers, exact in x's type.
+    """
+    bound = bounds(far, dq)
+    slack = 1e-6 * (1 + float(np.abs(dq).max()) + float(bound.max()))
+    step = min(len(ids), max(4 * k, 128))
+    order = np.argpartition(bound, step - 1)[:step]
     rest = None
-    got_ids, got, done, q2 = np.empty(0, np.int64), np.empty(0), 0, float(q @ q)
+    got_ids, got, done, q2 = np.empty(0, np.int64), np.empty(0), 0, float(np.square(q, dtype=float).sum())
     while len(order):
         part = order[ids[order] != own]
         done += len(part)
-        got_ids, got = np.concatenate([got_ids, ids[part]]), np.concatenate([got, x[part] @ q])
+        score = (np.take(x, part, 0) @ q).astype(float)
+        if len(got) == k:  # those below the k-th can't come in
+            up = score >= got[-1]
+            part, score = part[up], score[up]
+        got_ids, got = np.concatenate([got_ids, ids[part]]), np.concatenate([got, score])
         keep = np.lexsort((got_ids, -got))[:k]
         got_ids, got = got_ids[keep], got[keep]
-        reach = math.inf if len(got) < k else math.sqrt(max(0.0, q2 + length2 - 2 * got[-1]))
-        reach += 1e-6 * (1 + reach) if reach < math.inf else 0
+        reach = math.inf if len(got) < k else math.sqrt(max(0.0, q2 + length2 - 2 * got[-1])) * (1 + 1e-6) + slack
         if rest is None:  # the others that the first ones leave open, by bound
-            others = np.ones(len(ids), bool)
+            others = bound <= reach
             others[order] = False
-            rest = np.flatnonzero(others & (bound <= reach))
+            rest = np.flatnonzero(others)
             rest = rest[np.argsort(bound[rest], kind="stable")]
-        order, rest = rest[:1024], rest[1024:]
-        order = order[bound[order] <= reach]
+        step = min(2 * step, 2048)
+        order, rest = rest[:step], rest[step:]
+        order = order[: np.searchsorted(bound[order], reach, side="right")]
     return got_ids, got, done
 
 
@@ -119,8 +140,11 @@ def top_k(rows: DataFrame, queries: Column, k: int = 20, block: int = BLOCK, que
         x, far = _matrix(g["vector"], width), _matrix(g["far"], len(table_of))
         query, ids = g["query"].to_numpy(bool), g["vec_id"].to_numpy(np.int64)
         out = []
-        cx, cids, cfar = x[~query], ids[~query], far[~query]
-        exact = np.abs(x).max(initial=0) ** 2 * width < _SAFE
+        cids, cfar = ids[~query], np.ascontiguousarray(far[~query].T, np.float32)
+        most = np.abs(x).max(initial=0) ** 2 * width
+        exact = most < _SAFE
+        x = x.astype(np.float32) if most < _SINGLE else x  # whole sums either way
+        far, cx = far.astype(np.float32), x[~query]
         if not exact:  # sums beyond a double's whole numbers: Python's integers
             cx = np.array([[int(c) for c in r] for r in cx], object).reshape(-1, width)
         for i in np.flatnonzero(query) if len(cids) else []:
