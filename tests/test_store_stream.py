@@ -103,6 +103,19 @@ def test_windowed_stream_equals_batch(spark):
     assert _sorted(got) == _sorted(want)
 
 
+def test_windowed_stream_counts_late_rows(spark):
+    posts = fixtures.posts(spark, SF_SMALL)
+    work = scratch_dir(spark, "topics-late")
+    late, last = posts.filter("batch <= 17"), posts.filter("batch > 17")
+    for first_drop, part in ((0, last), (1, late)):  # the oldest rows come in the last micro-batch
+        n = land_messages(part, f"{work}/input", drops=1, first_drop=first_drop)
+        raw = read_posts_stream(spark, fmt="file", path=landed(f"{work}/input"), max_files_per_trigger=n)
+        start_windowed_topics(raw, f"{work}/store", f"{work}/chk", trigger=AVAILABLE_NOW,
+                              name=f"t_late_{first_drop}").awaitTermination()
+    got = topics_latest(spark, f"{work}/store")
+    assert _sorted(got) == _sorted(windowed_topics(posts).select(*got.columns))
+
+
 def test_compaction_keeps_latest_view(spark):
     work, sink = _sink(spark)
     root = f"{work}/store"

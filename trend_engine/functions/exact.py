@@ -16,6 +16,11 @@ def _cents_sql(col: str) -> str:
     return f"CAST(round({col} * 100D) AS BIGINT)"
 
 
+def cents(col: str) -> Column:
+    """A two-decimal column as whole cents."""
+    return F.expr(_cents_sql(col))
+
+
 def mean_exact(col: str) -> Column:
     """Mean of a two-decimal column: sum of cents / (count · 100), one IEEE division."""
     return F.expr(

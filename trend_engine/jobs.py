@@ -31,18 +31,19 @@ from trend_engine.sources.catalog import observations, raw_posts, write_hourly
 from trend_engine.sources.items import read_items
 from trend_engine.sources.messages import publish_posts, read_posts_stream
 from trend_engine.sources.outputs import write_analytics, write_report
-from trend_engine.streaming.ingest import compact_topics, start_ingest, start_windowed_topics
+from trend_engine.streaming.ingest import start_ingest, start_windowed_topics
 
 
 def _opts(pairs):
     return dict(p.split("=", 1) for p in pairs or [])
 
 
-def produce(spark: SparkSession, items: str, out: str | None, fmt: str, opts: dict) -> None:
+def produce(spark: SparkSession, items: str, out: str | None, fmt: str, opts: dict, head: int | None = None) -> None:
+    """Landed items → published messages; ``head`` takes only the first listed of each poll."""
     from pyspark.sql.types import IntegerType, StructField, TimestampType
     extra = [StructField("batch", IntegerType()), StructField("list_rank", IntegerType()),
              StructField("observed_at", TimestampType())]
-    publish_posts(messages_from_items(read_items(spark, items, extra_fields=extra)), fmt, opts, out)
+    publish_posts(messages_from_items(read_items(spark, items, extra_fields=extra), head), fmt, opts, out)
 
 
 def ingest(spark: SparkSession, source: str, path: str | None, opts: dict, root: str, checkpoint: str,
@@ -84,13 +85,11 @@ def report(spark: SparkSession, root: str, out: str) -> None:
 
 
 def retention(spark: SparkSession, root: str):
-    """Deletable paths of the viral, stats and topics logs after compaction."""
+    """Deletable paths of the viral and stats logs after compaction."""
     from trend_engine.sources.compaction import retention_candidates
-    from trend_engine.streaming.ingest import TOPICS_LOG_SCHEMA
     parts = [retention_candidates(spark, root, store.VIRAL_LOG, store.VIRAL_LOG_SCHEMA),
-             retention_candidates(spark, root, store.STATS_LOG, store.STATS_LOG_SCHEMA),
-             retention_candidates(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+             retention_candidates(spark, root, store.STATS_LOG, store.STATS_LOG_SCHEMA)]
+    return parts[0].unionByName(parts[1])
 
 
 def main(argv=None) -> None:
@@ -106,13 +105,14 @@ def main(argv=None) -> None:
     ap.add_argument("--opt", action="append")
     ap.add_argument("--store")
     ap.add_argument("--checkpoint")
+    ap.add_argument("--head", type=int)
     ap.add_argument("--once", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"trend-engine-{a.job}").getOrCreate()
     apply_cluster_defaults(spark)
     use_utc(spark)
     if a.job == "produce":
-        produce(spark, a.items, a.out, a.fmt, _opts(a.opt))
+        produce(spark, a.items, a.out, a.fmt, _opts(a.opt), a.head)
     elif a.job in ("ingest", "topics"):
         ingest(spark, a.source, a.path, _opts(a.opt), a.store, a.checkpoint, a.once, topics=a.job == "topics",
                raw_path=a.raw)
@@ -128,7 +128,6 @@ def main(argv=None) -> None:
         retention(spark, a.store).write.mode("overwrite").csv(a.out)
     else:
         store.compact_store(spark, a.store)
-        compact_topics(spark, a.store)
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trend_engine.functions.exact import mean_exact, mean_int, mean_round2
+from trend_engine.functions.exact import cents, mean_exact, mean_int, mean_round2
 from trend_engine.functions.scoring import preview, tier
 from trend_engine.functions.timefmt import hour_label
 from trend_engine.schema import STAT_KEYS
@@ -135,3 +135,28 @@ def windowed_topics(df: DataFrame, size: str = "1 hour", time_col: str = "observ
                    F.sum(F.col("comments").cast("bigint")).alias("total_comments"))
               .select("topic", F.col("w.start").alias("window_start"), "post_count", "avg_score",
                       "avg_viral_score", "total_comments"))
+
+
+def topic_parts(df: DataFrame, size: str = "1 hour", time_col: str = "observed_at",
+                topic_col: str = "subreddit") -> DataFrame:
+    """What ``df`` adds to each topic × tumbling window: whole sums and counts of non-null values."""
+    return (df.groupBy(F.window(time_col, size).alias("w"), F.col(topic_col).alias("topic"))
+              .agg(F.count(F.lit(1)).alias("post_count"),
+                   F.count("score").alias("scores"),
+                   F.sum(F.col("score").cast("bigint")).alias("score_sum"),
+                   F.count("viral_score").alias("virals"),
+                   F.sum(cents("viral_score")).alias("cents"),
+                   F.sum(F.col("comments").cast("bigint")).alias("total_comments"))
+              .select("topic", F.col("w.start").alias("window_start"), "post_count", "scores", "score_sum",
+                      "virals", "cents", "total_comments"))
+
+
+def topics_of_parts(parts: DataFrame) -> DataFrame:
+    """``windowed_topics`` from any number of ``topic_parts``."""
+    mean = lambda total, n: F.sum(total).cast("double") / F.expr(f"nullif(sum({n}), 0)").cast("double")
+    return (parts.groupBy("topic", "window_start")
+                 .agg(F.sum("post_count").alias("post_count"),
+                      mean("score_sum", "scores").alias("avg_score"),
+                      (F.sum("cents").cast("double")
+                       / F.expr("nullif(sum(virals), 0) * 100").cast("double")).alias("avg_viral_score"),
+                      F.sum("total_comments").alias("total_comments")))

@@ -118,7 +118,7 @@ SQL: dict[str, str] = {
     "viral_score": _q("SELECT id, batch, score, comments, unix_time, viral_score, is_viral FROM posts"),
     "head_of_list": _q("SELECT CAST(id AS BIGINT) AS id, batch, list_rank, \"type\", title FROM items WHERE list_rank < 5"),
     "normalise_items": _q("SELECT id, batch, title, score, comments, author, url, source, unix_time "
-                          "FROM normalised WHERE list_rank < 20"),
+                          "FROM normalised"),
     "fetch_posts": _q("SELECT id, batch, title, score, comments, author FROM fetched"),
     "score_items": _q("SELECT id, batch, topic AS subreddit, score, comments, author, unix_time, "
                       "strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%f') AS \"timestamp\", viral_score, is_viral "

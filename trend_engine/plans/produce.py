@@ -1,6 +1,6 @@
 """The producer stage as a Spark job: ranked-list items → scored post messages.
 
-Per poll: the head of the list is cut first, non-stories and untitled items are dropped,
+Per poll: the head of the list is cut first where asked for, non-stories and untitled items are dropped,
 defaults are filled, a topic is assigned, and the decay score is computed at the poll's
 observation time (``observed_at``), flagged and tagged with the poll number.
 """
@@ -13,13 +13,13 @@ from trend_engine.functions.scoring import is_viral_sql, sql_literal, viral_scor
 from trend_engine.functions.timefmt import ISO_MICROS
 from trend_engine.sources.items import head_of_list, normalise_items
 
-# Fixed value: posts taken from the head of each poll's ranked list.
-POLL_HEAD = 30
 
+def messages_from_items(items: DataFrame, head: int | None = None) -> DataFrame:
+    """Message rows (the published fields plus ``observed_at``) from raw items.
 
-def messages_from_items(items: DataFrame, head: int = POLL_HEAD) -> DataFrame:
-    """Message rows (the published fields plus ``observed_at``) from raw items."""
-    norm = normalise_items(head_of_list(items, head))
+    ``head``: posts taken from the head of each poll's ranked list; without it, all of them.
+    """
+    norm = normalise_items(items if head is None else head_of_list(items, head))
     timed = norm.selectExpr("*", "unix_micros(observed_at) / 1e6D AS obs_s")
     scored = timed.selectExpr("*", f"{viral_score_sql('score', 'comments', 'unix_time', 'obs_s')} AS viral_score")
     return scored.selectExpr(

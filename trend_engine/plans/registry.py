@@ -54,7 +54,7 @@ def q_head_of_list(spark, sf):
 
 
 def q_normalise_items(spark, sf):
-    return normalise_items(head_of_list(_items(spark, sf), 20)).select(
+    return normalise_items(_items(spark, sf)).select(
         "id", "batch", "title", "score", "comments", "author", "url", "source", "unix_time")
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trend_engine.operators.aggregates import topic_leaderboard
+from trend_engine.operators.views import viral_posts_view
 from trend_engine.schema import HOURLY_STATS, RAW_POSTS
 
 # Blanks are kept, null and empty text differ, and a line that doesn't fit stops the read.
@@ -87,35 +89,10 @@ def hourly(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.orc(path).select(*[f.name for f in HOURLY_STATS.fields])
 
 
-# The two SQL views over the raw table. Averages of two-decimal scores use exact cents.
-TOPIC_VIEW_SQL = """
-CREATE OR REPLACE TEMP VIEW topic_leaderboard AS
-SELECT subreddit,
-       count(*) AS post_count,
-       CAST(sum(CAST(score AS BIGINT)) AS DOUBLE) / CAST(count(score) AS DOUBLE) AS avg_score,
-       CAST(sum(CAST(round(viral_score * 100D) AS BIGINT)) AS DOUBLE) / CAST(count(viral_score) * 100 AS DOUBLE)
-         AS avg_viral_score,
-       sum(CAST(comments AS BIGINT)) AS total_comments,
-       max(viral_score) AS peak_viral_score
-FROM raw_posts
-WHERE is_viral = true
-GROUP BY subreddit
-ORDER BY avg_viral_score DESC
-"""
-
-VIRAL_VIEW_SQL = """
-CREATE OR REPLACE TEMP VIEW viral_posts_view AS
-SELECT id, title, score, viral_score, author, timestamp
-FROM raw_posts
-WHERE viral_score > 50
-ORDER BY viral_score DESC, id, timestamp
-"""
-
-
 def register(spark: SparkSession, tables: dict[str, DataFrame], views: bool = True) -> None:
     """Register DataFrames as temp views; with ``views``, also the two views over ``raw_posts``."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     if views and "raw_posts" in tables:
-        spark.sql(TOPIC_VIEW_SQL)
-        spark.sql(VIRAL_VIEW_SQL)
+        topic_leaderboard(tables["raw_posts"]).createOrReplaceTempView("topic_leaderboard")
+        viral_posts_view(tables["raw_posts"]).createOrReplaceTempView("viral_posts_view")

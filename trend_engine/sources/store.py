@@ -5,7 +5,7 @@ Layout under a store root (any Hadoop-compatible path shared by the cluster)::
     viral_log/run=<run>/epoch=<n>/keyed=true/    viral observations of one micro-batch
     viral_log/run=<run>/epoch=<n>/keyed=false/   viral rows without an id (cannot be keyed)
     stats_log/run=<run>/epoch=<n>/               the batch counters as key/value rows
-    topics_log/run=<run>/epoch=<n>/  windowed topic aggregates updated in that batch
+    topics_log/run=<run>/epoch=<n>/  what that batch adds to the windowed topic sums
 
 Each micro-batch overwrites exactly its own ``epoch=<n>`` directory, so a replayed epoch
 (at-least-once ``foreachBatch``) replaces itself instead of duplicating rows. ``run`` is the

@@ -15,21 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from trend_engine.operators.aggregates import windowed_topics
-from trend_engine.schema import TRENDING_TOPICS
+from trend_engine.operators.aggregates import topic_parts, topics_of_parts
 from trend_engine.sources import store
+from trend_engine.sources.logs import read_or_empty
 from trend_engine.sources.messages import parse_posts
 
-TOPICS_LOG_SCHEMA = StructType(list(TRENDING_TOPICS.fields) + [
-    StructField("ingested_at", TimestampType()), StructField("run", StringType()),
-    StructField("epoch", LongType())])
-TOPIC_KEYS = ["topic", "window_start"]
-TOPIC_ORDER = ["ingested_at", "epoch"]
+#: What a micro-batch adds to a (topic, window): sums and counts, so epochs add up in any order.
+TOPIC_PARTS = ["post_count", "scores", "score_sum", "virals", "cents", "total_comments"]
+TOPICS_LOG_SCHEMA = StructType(
+    [StructField("topic", StringType()), StructField("window_start", TimestampType())]
+    + [StructField(c, LongType()) for c in TOPIC_PARTS]
+    + [StructField("run", StringType()), StructField("epoch", LongType())])
 
-# Trigger interval, window size and watermark.
+# Trigger interval and window size.
 TRIGGER = {"processingTime": "15 seconds"}
 WINDOW = "1 hour"
-WATERMARK = "2 hours"
 
 
 class _EpochSink:
@@ -108,17 +108,22 @@ class ViralSink(_EpochSink):
 
 
 class TopicSink(_EpochSink):
-    """Updated (topic, window) aggregates → topics log.
+    """What each micro-batch adds per (topic, window) → topics log.
 
-    One action per epoch: the batch is the output of a stateful aggregate, so an emptiness check
-    or a cache would run the aggregation twice; an empty epoch just writes an empty directory.
+    One action per epoch and no state: rows may be as late as they like, and a replayed epoch
+    replaces its own sums. An empty epoch just writes an empty directory.
     """
 
     skip_empty = False
     single_write = True
 
+    def __init__(self, root: str, checkpoint: str, size: str = WINDOW):
+        super().__init__(root, checkpoint)
+        self.size = size
+
     def write(self, batch, run, epoch, stamp):
-        batch.write.mode("overwrite").parquet(store.epoch_path(self.root, store.TOPICS_LOG, run, epoch))
+        parts = topic_parts(batch, self.size)
+        parts.write.mode("overwrite").parquet(store.epoch_path(self.root, store.TOPICS_LOG, run, epoch))
 
 
 def _start(df: DataFrame, sink, name: str, checkpoint: str, mode: str, trigger: dict | None) -> StreamingQuery:
@@ -137,25 +142,15 @@ def start_ingest(raw: DataFrame, root: str, checkpoint: str, trigger: dict | Non
 
 
 def start_windowed_topics(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-                          size: str = WINDOW, watermark: str = WATERMARK,
-                          name: str = "windowed_topics") -> StreamingQuery:
-    """Topic × window aggregates, updated per micro-batch (update mode) into a keyed log.
+                          size: str = WINDOW, name: str = "windowed_topics") -> StreamingQuery:
+    """Topic × window sums per micro-batch into a log that ``topics_latest`` adds up.
 
-    State is bounded by the watermark: windows older than ``watermark`` behind the newest
-    event are finalised and dropped from state.
+    No watermark: late rows count, however late. A row without a time has no window.
     """
-    parsed = parse_posts(raw).withWatermark("observed_at", watermark)
-    agg = windowed_topics(parsed, size)
-    return _start(agg, TopicSink(root, checkpoint), name, checkpoint, "update", trigger)
+    return _start(parse_posts(raw), TopicSink(root, checkpoint, size), name, checkpoint, "append", trigger)
 
 
 def topics_latest(spark: SparkSession, root: str) -> DataFrame:
-    """Current value of every (topic, window_start) from the topics log."""
-    from trend_engine.sources.compaction import read_latest
-    return read_latest(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA, TOPIC_KEYS, TOPIC_ORDER,
-                       ["post_count", "avg_score", "avg_viral_score", "total_comments"])
-
-
-def compact_topics(spark: SparkSession, root: str) -> int | None:
-    from trend_engine.sources.compaction import compact
-    return compact(spark, root, store.TOPICS_LOG, TOPICS_LOG_SCHEMA, TOPIC_KEYS, TOPIC_ORDER)
+    """Every (topic, window_start) over all epochs of the topics log."""
+    log = read_or_empty(spark, f"{root.rstrip('/')}/{store.TOPICS_LOG}", TOPICS_LOG_SCHEMA)
+    return topics_of_parts(log)
