@@ -41,6 +41,8 @@ M, BASE, RATE = 240, 1.001, 20.0
 BANDS, ROWS = 48, 5
 #: Registers used for the estimate, and its allowance in standard errors below the threshold.
 SEEN, ERRORS = 160, 4.5
+#: Halvings of the interval in the search for the most likely similarity.
+STEPS = 12
 WIDTH, PERCENT = 5, 80
 #: Members of a bucket that are compared in one piece (a larger bucket is tiled over tasks).
 TILE = 2048
@@ -66,14 +68,16 @@ def estimate(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray) ->
     up, down = (x > y).sum(1), (x < y).sum(1)
     same = x.shape[1] - up - down
     u, v = n_x / (n_x + n_y), n_y / (n_x + n_y)
-    p = lambda q: -np.log1p(-np.clip(q, 1e-12, 1) * (BASE - 1) / BASE) / math.log(BASE)
-    best, at = np.full(len(up), -np.inf), np.zeros(len(up))
-    for share in np.linspace(0.005, 1, 200):
-        j = share * np.minimum(u / v, v / u)
-        a, b = p(u - v * j), p(v - u * j)
-        fit = up * np.log(a) + down * np.log(b) + same * np.log(np.clip(1 - a - b, 1e-12, 1))
-        at, best = np.where(fit > best, j, at), np.maximum(best, fit)
-    return at
+    c, scale = (BASE - 1) / BASE, math.log(BASE)
+    low, high, limit = np.zeros(len(up)), np.ones(len(up)), np.minimum(u / v, v / u)
+    for _ in range(STEPS):  # the likelihood is concave: its slope tells the side of the maximum
+        share = (low + high) / 2
+        above, below = (1 - c * np.clip(q, 1e-12, 1) for q in (u - v * share * limit, v - u * share * limit))
+        a, b = -np.log(above) / scale, -np.log(below) / scale
+        to_a, to_b = -v * c / above / scale, -u * c / below / scale
+        rises = up * to_a / a + down * to_b / b - same * (to_a + to_b) / np.maximum(1 - a - b, 1e-12) > 0
+        low, high = np.where(rises, share, low), np.where(rises, high, share)
+    return (low + high) / 2 * limit
 
 
 def lowest(percent: int) -> float:
@@ -227,7 +231,9 @@ def _between(mixed: DataFrame, regs: DataFrame, top: int, percent: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(
                 (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], names=["key", "a", "b", "more"])
 
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(
+    # A set number of partitions: tiles are small in bytes and would be merged into few tasks.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(
         run, "key long, a long, b long, more boolean")
 
 
