@@ -20,7 +20,9 @@ not read. Sums of doubles in another order differ in their last digits: scores a
 from __future__ import annotations
 
 import functools
+import itertools
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,19 +30,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trend_engine.llm._common import BLANK, table
+from trend_engine.llm._common import table
 
 BASE, KNOWN, SIDE, WIDTH = 32, 768, 2, 16
 SIZE = BASE * BASE
-ROUNDS, RATE, BATCH, SEED = 1, 0.1, 16_384, 4
+ROUNDS, RATE, BATCH, SEED = 1, 0.1, 4_096, 4
+#: Distinct words that a task counts before it passes the counts on.
+_COUNTED = 500_000
 _PAD = SIZE  # the code beyond a text's ends
 
 
 def vocabulary(docs: DataFrame, text: str = "text", known: int = KNOWN) -> list[tuple[str, int]]:
     """(word, count) of the most frequent lower-case words of all texts; the last entry, None, has
     the count of all others."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), BLANK)).alias("w")).where("w <> ''")
-    counts = table(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "lm-words")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for start_ in range(0, batch.num_rows, 256):
+                for t in batch.column(0).slice(start_, 256).to_pylist():
+                    counts.update(t.lower().split() if t else ())
+                if len(counts) >= _COUNTED:
+                    yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["w", "n"])
+                    counts = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["w", "n"])
+
+    parts = docs.select(F.col(text).cast("string")).mapInArrow(run, "w string, n long")
+    counts = table(parts.groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
     top = [(r.w, r.n) for r in counts.orderBy(F.desc("n"), "w").limit(known).collect()]
     total = counts.agg(F.sum("n")).first()[0] or 0
     return [*top, (None, total - sum(n for _, n in top))]
@@ -91,59 +106,71 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(1, keepdims=True))
-    return e / e.sum(1, keepdims=True)
+    e = np.exp(np.clip(x, -60, 60))  # within the range of single precision
+    return e / (e @ np.ones((x.shape[1], 1), x.dtype))
 
 
 def windows(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, neighbours' codes [n, 2 SIDE]) of all words of the texts."""
+    """(line, at): the texts' codes in one line with SIDE codes of padding around each, and the
+    positions of the words in it."""
     gap = [_PAD] * SIDE
-    line = np.array([c for t in texts for c in (*t, *gap)] or gap, np.int64)
-    padded = np.concatenate([gap, line, gap]).astype(np.int64)
-    at = np.flatnonzero(line != _PAD) + SIDE
-    around = np.stack([padded[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
-    return padded[at], around
+    line = np.array([*gap, *itertools.chain.from_iterable(itertools.chain(t, gap) for t in texts)], np.uint16)
+    return line, np.flatnonzero(line != _PAD)
+
+
+def steps(line: np.ndarray, at: np.ndarray, size: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(line, at) of `size` words at a time, with the neighbours of the first and the last."""
+    for a in range(0, len(at), size):
+        some = at[a : a + size]
+        yield line[some[0] - SIDE : some[-1] + SIDE + 1], some - (some[0] - SIDE)
 
 
-def _forward(net, around, code):
-    near = net["embedding"][around]
-    h = np.tanh(np.einsum("npd,pd->nd", near, net["gate"]))
-    high, low = code // BASE, code % BASE
+#: Distances of the neighbours.
+_AWAY = [*range(-SIDE, 0), *range(1, SIDE + 1)]
+
+
+def _forward(net, line, at):
+    """Hidden layer, digits of the words, probabilities of the digits."""
+    # Every code's embedding under every gate, looked up once per word and added up by shifts.
+    gated = (net["embedding"][:, None, :] * net["gate"]).reshape(SIZE + 1, -1)[line]
+    total = np.zeros((len(line) - 2 * SIDE, WIDTH), np.float32)
+    for k, d in enumerate(_AWAY):
+        total += gated[SIDE + d : len(line) - SIDE + d, k * WIDTH : (k + 1) * WIDTH]
+    h = np.tanh(total[at - SIDE])
+    high, low = np.divmod(line[at].astype(np.intp), BASE)
     p = _softmax(h @ net["high"] + net["high_bias"])
     q = _softmax(h @ net["low"] + net["low_bias"][high])
-    return near, h, high, low, p, q
+    return h, high, low, p, q
 
 
-def log_probabilities(net: dict, code: np.ndarray, around: np.ndarray) -> np.ndarray:
-    rows = np.arange(len(code))
-    _, _, high, low, p, q = _forward(net, around, code)
+def log_probabilities(net: dict, line: np.ndarray, at: np.ndarray) -> np.ndarray:
+    rows = np.arange(len(at))
+    _, high, low, p, q = _forward(net, line, at)
     return np.log(np.maximum(p[rows, high], 1e-12)) + np.log(np.maximum(q[rows, low], 1e-12))
 
 
-def _gather(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sum of the rows of `values` by `at`."""
-    out = np.zeros((size, values.shape[1]), np.float32)
-    if len(at):
-        order = np.argsort(at, kind="stable")
-        sorted_ = at[order]
-        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        out[sorted_[first]] = np.add.reduceat(values[order], first, axis=0)
-    return out
+def _by_code(line: np.ndarray, at: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """[code, neighbour, width]: sum of `back` over the words that have the code as that neighbour."""
+    full = np.zeros((len(line) + 2 * SIDE, WIDTH))
+    full[at + SIDE] = back
+    cell = (line[:, None].astype(np.intp) * WIDTH + np.arange(WIDTH)).ravel()
+    shifted = (full[SIDE - d : SIDE - d + len(line)].ravel() for d in _AWAY)
+    sums = [np.bincount(cell, x, (SIZE + 1) * WIDTH).reshape(-1, WIDTH) for x in shifted]
+    return np.stack(sums, 1).astype(np.float32)
 
 
-def train(net: dict, past: dict, code: np.ndarray, around: np.ndarray) -> None:
+def train(net: dict, past: dict, line: np.ndarray, at: np.ndarray) -> None:
     """One Adagrad step on a batch of words; changes `net` and the sums of squares in `past`."""
-    rows, n = np.arange(len(code)), len(code)
-    near, h, high, low, p, q = _forward(net, around, code)
-    p[rows, high] -= 1
-    q[rows, low] -= 1
-    p /= n
-    q /= n
+    n = np.float32(len(at))
+    h, high, low, p, q = _forward(net, line, at)
+    digits = np.eye(BASE, dtype=np.float32)
+    ones = digits[high]
+    p = (p - ones) / n
+    q = (q - digits[low]) / n
     back = (p @ net["high"].T + q @ net["low"].T) * (1 - h * h)
-    to_near = back[:, None, :] * net["gate"]
-    grads = {"high": h.T @ p, "low": h.T @ q, "high_bias": p.sum(0), "low_bias": _gather(high, q, BASE),
-             "gate": np.einsum("npd,nd->pd", near, back),
-             "embedding": _gather(around.ravel(), to_near.reshape(-1, WIDTH), SIZE + 1)}
+    codes = _by_code(line, at, back)
+    grads = {"high": h.T @ p, "low": h.T @ q, "high_bias": p.sum(0), "low_bias": ones.T @ q,
+             "gate": (codes * net["embedding"][:, None, :]).sum(0), "embedding": (codes * net["gate"]).sum(1)}
     for k, g in grads.items():
         past[k] += g * g
         net[k] -= RATE * g / np.sqrt(past[k] + 1e-10)
@@ -172,10 +199,9 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[tupl
                     held += texts
                     size += sum(map(len, texts))
                     if size >= BATCH:
-                        code, around = windows(held)
-                        for a in range(0, len(code), BATCH):
-                            train(own, past, code[a : a + BATCH], around[a : a + BATCH])
-                        held, size, seen = [], 0, seen + len(code)
+                        for step in steps(*windows(held)):
+                            train(own, past, *step)
+                        held, size, seen = [], 0, seen + size
             if size:
                 train(own, past, *windows(held))
                 seen += size
@@ -201,8 +227,7 @@ def scores(docs: DataFrame, words: tuple[str, ...], net: dict, text: str = "text
         for batch in batches:
             counts, sums = [], []
             for _, texts in _batches(batch, codes, 1):
-                code, around = windows(texts)
-                value = np.concatenate([log_probabilities(net, code[a : a + BATCH], around[a : a + BATCH]) for a in range(0, len(code), BATCH)] or [np.empty(0)])
+                value = np.concatenate([log_probabilities(net, *step) for step in steps(*windows(texts))] or [np.empty(0)])
                 n = np.array([len(t) for t in texts])
                 total = np.concatenate([[0.0], np.cumsum(value, dtype=float)])
                 ends = np.cumsum(n)
