@@ -46,6 +46,8 @@ STEPS = 12
 WIDTH, PERCENT = 5, 80
 #: Members of a bucket that are compared in one piece (a larger bucket is tiled over tasks).
 TILE = 2048
+#: Most similar members per member and foreign group in the first such round (16 times as many in each next).
+TOP = 64
 
 _MULTIPLIERS = H.mix(np.arange(1, M + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 
@@ -249,7 +251,8 @@ def _with_last(batches):
         yield True, before
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", key: str = "doc_id",
+                    top: int = TOP) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id: one row per row of `docs`.
 
     component_id is the smallest doc_id reachable over links of Jaccard similarity `percent` / 100
@@ -272,7 +275,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     centre = buckets.groupBy("key").agg(F.min("node").alias("c"))
     stars = buckets.join(centre, "key").where("node <> c").select(*_ordered(F.col("node"), F.col("c"))).distinct()
     tested = table(_confirmed(_likely(stars, regs, percent), sets, percent), "near-links")
-    groups, top, open_ = components(tested.where("ok").select("a", "b"), "near-groups"), 4, buckets
+    groups, top, open_ = components(tested.where("ok").select("a", "b"), "near-groups"), top, buckets
     while True:
         mixed = _mixed(open_, groups)
         found = table(_between(mixed, regs, top, percent), "near-between")
