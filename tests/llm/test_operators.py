@@ -14,7 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from trend_engine.llm import fingerprint, licence, lm_score, mixing, packing, topk, toxicity  # noqa: E402
 from trend_engine.llm.line_dedup import line_dedup  # noqa: E402
-from trend_engine.llm.near_dedup import near_duplicates  # noqa: E402
+from trend_engine.llm.near_dedup import M, SEEN, estimate, near_duplicates, registers  # noqa: E402
 from trend_engine.llm.queries import with_package  # noqa: E402
 from trend_engine.session import build_session  # noqa: E402
 
@@ -43,7 +43,10 @@ def test_near_duplicates_against_all_pairs(spark):
             words = b.split()
             words[rng.integers(len(words))] = "x"
             texts.append(" ".join(words))
-    got = {r.doc_id: r for r in near_duplicates(frame(spark, texts)).collect()}
+    docs = frame(spark, texts)
+    got = {r.doc_id: r for r in near_duplicates(docs).collect()}
+    # A first round of one member each needs more rounds and finds the same.
+    assert {r.doc_id: r for r in near_duplicates(docs, top=1).collect()} == got
     sets = []
     for t in texts:
         w = (t or "").lower().split()
@@ -58,6 +61,52 @@ def test_near_duplicates_against_all_pairs(spark):
     assert [got[i].n_shingles for i in range(len(texts))] == [len(s) for s in sets]
 
 
+def test_estimate_is_near_the_true_similarity_and_sketches_merge():
+    rng = np.random.default_rng(5)
+    for both, own in ((400, 50), (300, 200), (0, 300), (200, 0)):
+        v = rng.integers(0, 2**63, both + 2 * own, dtype=np.uint64) * np.uint64(2)
+        x, y = v[: both + own], np.concatenate([v[:both], v[both + own :]])
+        a, b, n = registers(x), registers(y), np.array([float(both + own)])
+        assert a.shape == (M,)
+        j = both / (both + 2 * own)
+        assert abs(estimate(a[None, :SEEN], b[None, :SEEN], n, n)[0] - j) < 0.02 + 5 * (j * (1 - j) / SEEN) ** 0.5
+        assert (registers(np.concatenate([x, y])) == np.maximum(a, b)).all()
+
+
+def test_network_step_against_word_by_word():
+    rng = np.random.default_rng(6)
+    net = lm_score.start([3, 2, 1], 5)
+    net = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in net.items()}
+    texts = [[], [5], *(rng.integers(0, lm_score.SIZE, n).tolist() for n in (2, 40, 7))]
+
+    def loss(net):
+        out = []
+        for t in texts:
+            padded = [lm_score._PAD] * 2 + t + [lm_score._PAD] * 2
+            for i, c in enumerate(t):
+                around = [padded[i + 2 + d] for d in (-2, -1, 1, 2)]
+                h = np.tanh(sum(net["embedding"][a].astype(float) * net["gate"][k] for k, a in enumerate(around)))
+                x = h @ net["high"] + net["high_bias"]
+                y = h @ net["low"] + net["low_bias"][c // lm_score.BASE]
+                out.append(x[c // lm_score.BASE] - np.log(np.exp(x).sum()) + y[c % lm_score.BASE] - np.log(np.exp(y).sum()))
+        return np.array(out)
+
+    want, (line, at) = loss(net), lm_score.windows(texts)
+    got = np.concatenate([lm_score.log_probabilities(net, *s) for s in lm_score.steps(line, at, 9)])
+    assert np.allclose(got, want, atol=1e-4)
+    # After one step from no history, the sums of squares are those of the gradient.
+    new, past = {k: v.copy() for k, v in net.items()}, {k: np.zeros_like(v) for k, v in net.items()}
+    lm_score.train(new, past, line, at)
+    used = [t[0] for t in texts if t]
+    for name, cell in (("high", (3, 4)), ("low", (0, 9)), ("gate", (1, 5)), ("gate", (3, 2)), ("embedding", (used[0], 1)),
+                       ("embedding", (texts[3][5], 7)), ("embedding", (lm_score._PAD, 3)), ("low_bias", (texts[3][0] // 32, 6))):
+        up, down = ({k: v.astype(float) for k, v in net.items()} for _ in range(2))
+        up[name][cell] += 1e-4
+        down[name][cell] -= 1e-4
+        slope = (loss(up).mean() - loss(down).mean()) / 2e-4
+        assert np.isclose(past[name][cell] ** 0.5, abs(slope), rtol=2e-2, atol=2e-5), (name, cell)
+
+
 def test_line_dedup_keeps_the_first_of_each_group(spark):
     line = " ".join(WORDS[:40])
     near = line.replace("w7 ", "w8 ")
