@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from trend_engine.llm import fingerprint, licence, lm_score, mixing, packing, topk, toxicity  # noqa: E402
+from trend_engine.llm import fingerprint, licence, lm_score, mixing, near_dedup, packing, topk, toxicity  # noqa: E402
 from trend_engine.llm.line_dedup import line_dedup  # noqa: E402
 from trend_engine.llm.near_dedup import M, SEEN, estimate, near_duplicates, registers  # noqa: E402
 from trend_engine.llm.queries import with_package  # noqa: E402
@@ -107,6 +107,14 @@ def test_network_step_against_word_by_word():
         assert np.isclose(past[name][cell] ** 0.5, abs(slope), rtol=2e-2, atol=2e-5), (name, cell)
 
 
+def test_near_duplicates_names_large_buckets(spark):
+    # Eight buckets of 100,000 nodes, and two more with the nodes of the first one.
+    rows = spark.range(1_000_000).select(F.when(F.col("id") < 800_000, F.col("id")).otherwise(F.col("id") % 100_000).alias("node"),
+                                         F.floor(F.col("id") / 100_000).alias("key"))
+    got = near_dedup._buckets(rows).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size")).collect()
+    assert sorted(map(tuple, got)) == [(k, 100_000, 100_000) for k in range(8)]
+
+
 def test_line_dedup_keeps_the_first_of_each_group(spark):
     line = " ".join(WORDS[:40])
     near = line.replace("w7 ", "w8 ")

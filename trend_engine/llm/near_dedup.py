@@ -141,8 +141,11 @@ def _band_keys(classes: DataFrame) -> DataFrame:
 
 def _buckets(keys: DataFrame) -> DataFrame:
     """key, node, size: the buckets of two members or more, each set of members once."""
-    full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum(F.shiftright(F.xxhash64("node"), 8)).alias("_sig"))
-    once = full.where("size > 1").groupBy("size", "_sig").agg(F.min("key").alias("key"))
+    # Names of the sets of members: neither the xor nor a sum of 32 bits overflows at any size of a bucket.
+    named = F.xxhash64("node")
+    full = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(named).alias("_xor"),
+                                   F.sum(named.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_sum"))
+    once = full.where("size > 1").groupBy("size", "_xor", "_sum").agg(F.min("key").alias("key"))
     return keys.join(once.select("key", "size"), "key").select("key", "node", "size")
 
 
