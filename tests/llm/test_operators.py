@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 from pyspark.sql import functions as F  # noqa: E402
 
 from trend_engine.llm import fingerprint, licence, lm_score, mixing, near_dedup, packing, topk, toxicity  # noqa: E402
+from trend_engine.llm import line_dedup as line_dedup_  # noqa: E402
 from trend_engine.llm.line_dedup import line_dedup  # noqa: E402
 from trend_engine.llm.near_dedup import M, SEEN, estimate, near_duplicates, registers  # noqa: E402
 from trend_engine.llm.queries import with_package  # noqa: E402
@@ -124,6 +125,14 @@ def test_line_dedup_keeps_the_first_of_each_group(spark):
     assert out[2] == (None, 0) and out[3] == ("", 0) and out[5] == ("short", 0)
 
 
+def test_line_codes_at_any_length(spark):
+    # One word put in front shifts all others; the lines are just below and above 32,767 words.
+    words = [f"{chr(97 + k % 26)}{k % 977}" for k in range(32_767)]
+    rows = spark.createDataFrame([(0, words), (1, ["z", *words]), (2, words * 3), (3, ["z", *words * 3])], "i int, _words array<string>")
+    codes = {r.i: r.code % 2**64 for r in line_dedup_.coded(rows).collect()}
+    assert (codes[0] ^ codes[1]).bit_count() <= 3 and codes[0] == codes[2] and (codes[2] ^ codes[3]).bit_count() <= 3
+
+
 def test_mixing_reaches_targets(spark):
     texts = ["a b c"] * 40 + ["x y"] * 40 + [None, ""] + ["q " * 9] * 40
     source = ["a"] * 40 + ["b"] * 40 + ["b", None] + ["c"] * 40
