@@ -125,6 +125,20 @@ def test_line_dedup_keeps_the_first_of_each_group(spark):
     assert out[2] == (None, 0) and out[3] == ("", 0) and out[5] == ("short", 0)
 
 
+def test_line_dedup_finds_one_changed_letter(spark):
+    # Lines of 5 to 60 words, each followed by a copy with one letter changed, and the fuzzy row above.
+    rng = np.random.default_rng(7)
+    texts = []
+    for n in [5, 6, 8, 10, 12, 14, 20, 30, 60] * 4:
+        line = " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+        at = 7 * int(rng.integers(n)) + int(rng.integers(6))
+        texts += [line, line[:at] + "z" + line[at + 1:]]
+    line = " ".join(WORDS[:40])
+    texts += [line, line.replace("w7 ", "w8 ")]
+    out = {r.doc_id: r["_removed"] for r in line_dedup(frame(spark, texts).drop("_size")).collect()}
+    assert [out[i] for i in range(len(texts))] == [0, 1] * (len(texts) // 2)
+
+
 def test_line_codes_at_any_length(spark):
     # One word put in front shifts all others; the lines are just below and above 32,767 words.
     words = [f"{chr(97 + k % 26)}{k % 977}" for k in range(32_767)]
