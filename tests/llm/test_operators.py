@@ -245,3 +245,21 @@ def test_licence_and_scores(spark):
     scored = {r.doc_id: r for r in lm_score.scores(docs, *lm_score.fit(docs)).collect()}
     assert scored[1].n_words == 0 and scored[1].mean_log_probability is None
     assert scored[4].mean_log_probability > scored[0].mean_log_probability
+
+
+def test_scores_tell_words_of_one_code_apart(spark):
+    # 768 frequent words take the codes of their own; of two others in one bucket one is ten times as frequent.
+    first: dict[int, str] = {}
+    for i in range(1000):
+        bucket = zlib.crc32(f"r{i}".encode()) % 256
+        if bucket in first:
+            break
+        first[bucket] = f"r{i}"
+    common, rare = first[bucket], f"r{i}"
+    docs = frame(spark, [" ".join(f"k{j}" for j in range(768))] * 20 + [common] * 10 + [rare, f"k1 {common} k2 {rare} {rare}"])
+    words, net, counts = lm_score.fit(docs)
+    got = {r.doc_id: r for r in lm_score.scores(docs, words, net, counts).collect()}
+    assert len(words) == 768 and counts.count() == 770 and got[29].n_words == 1
+    # Counts 11 and 3: the network gives both the same, their shares of the code the rest.
+    assert abs(got[29].log_probability - got[30].log_probability - np.log(11 / 3)) < 1e-3
+    assert {got[i].log_probability for i in range(20, 30)} == {got[29].log_probability}

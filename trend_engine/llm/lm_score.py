@@ -4,13 +4,16 @@ Each word is predicted from the ``SIDE`` words on either side of it. The vocabul
 over the whole corpus: the ``KNOWN`` most frequent words have codes of their own, the others share
 ``SIZE - KNOWN`` codes by hash. A code has two digits of base ``BASE``; the network gives the first
 digit's probabilities and, given the first, the second's, so a word costs 2 BASE outputs.
+A word that shares its code has the code's probability times its share of the code's count, from the
+table of all words' counts: that table grows with the corpus, stays in Spark and is joined there.
 
 Network (numpy): gated sum of the neighbours' embeddings, tanh, two softmax layers. Training is data
 parallel over all documents: every partition runs Adagrad from the same start over its own words,
 and the weights are averaged by Spark, weighted by words (``ROUNDS`` times). Only the averaged
 network, of fixed size, comes to the driver.
 
-A document's score is the sum of the log-probabilities of its words given both sides.
+A document's score is the sum of the log-probabilities of its words given both sides. A word that
+the counts don't have (of another corpus) counts as one of its code that was seen once.
 
 Cases: null and blank texts have no words and score 0 (mean null); one word alone is predicted from
 padding; repeated rows score alike; no rows give no rows and an untrained network; extra columns are
@@ -40,9 +43,8 @@ _COUNTED = 500_000
 _PAD = SIZE  # the code beyond a text's ends
 
 
-def vocabulary(docs: DataFrame, text: str = "text", known: int = KNOWN) -> list[tuple[str, int]]:
-    """(word, count) of the most frequent lower-case words of all texts; the last entry, None, has
-    the count of all others."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """w, n: the count of every lower-case word of all texts, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for batch in batches:
@@ -55,7 +57,11 @@ def vocabulary(docs: DataFrame, text: str = "text", known: int = KNOWN) -> list[
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["w", "n"])
 
     parts = docs.select(F.col(text).cast("string")).mapInArrow(run, "w string, n long")
-    counts = table(parts.groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+    return table(parts.groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def vocabulary(counts: DataFrame, known: int = KNOWN) -> list[tuple[str, int]]:
+    """(word, count) of the most frequent words; the last entry, None, has the count of all others."""
     top = [(r.w, r.n) for r in counts.orderBy(F.desc("n"), "w").limit(known).collect()]
     total = counts.agg(F.sum("n")).first()[0] or 0
     return [*top, (None, total - sum(n for _, n in top))]
@@ -182,9 +188,10 @@ def _batches(batch: pa.RecordBatch, codes: Codes, at: int):
         yield a, [list(map(codes.__getitem__, t.lower().split())) if t else [] for t in batch.column(at).slice(a, 256).to_pylist()]
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[tuple[str, ...], dict[str, np.ndarray]]:
-    """(known words, network) of a corpus."""
-    counted = vocabulary(docs, text)
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[tuple[str, ...], dict[str, np.ndarray], DataFrame]:
+    """(known words, network, counts of all words) of a corpus."""
+    counts = word_counts(docs, text)
+    counted = vocabulary(counts)
     words = tuple(w for w, _ in counted[:-1])
     net = start([n for _, n in counted[:-1]], counted[-1][1])
     for _ in range(rounds):
@@ -217,28 +224,48 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[tupl
         for r in mean.toLocalIterator():  # as many rows as the network has weights
             values[r.i] += round(r.x, 7)
         net = shaped(values, net)
-    return words, net
+    return words, net, counts
+
 
+def shares(counts: DataFrame, words: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """(w, n of the words that share codes; code, total of these codes)."""
+    known = counts.sparkSession.createDataFrame([(w,) for w in words], "w string")
+    rest = counts.join(F.broadcast(known), "w", "left_anti")
+    code = F.lit(len(words)) + F.crc32(F.col("w").cast("binary")) % (SIZE - len(words))
+    return rest, rest.groupBy(code.alias("code")).agg(F.sum("n").alias("total"))
 
-def scores(docs: DataFrame, words: tuple[str, ...], net: dict, text: str = "text", key: str = "doc_id") -> DataFrame:
+
+def scores(docs: DataFrame, words: tuple[str, ...], net: dict, counts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_words, log_probability (sum), mean_log_probability of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _codes(words)
+        codes, known = _codes(words), frozenset(words)
         for batch in batches:
-            counts, sums = [], []
+            ns, sums, others = [], [], []
             for _, texts in _batches(batch, codes, 1):
                 value = np.concatenate([log_probabilities(net, *step) for step in steps(*windows(texts))] or [np.empty(0)])
                 n = np.array([len(t) for t in texts])
                 total = np.concatenate([[0.0], np.cumsum(value, dtype=float)])
                 ends = np.cumsum(n)
-                counts += n.tolist()
+                ns += n.tolist()
                 sums += (total[ends] - total[ends - n]).tolist()
-            mean = [round(s / n, 6) if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([round(s, 4) for s in sums], pa.float64()),
-                                              pa.array(mean, pa.float64())], names=["doc_id", "n_words", "log_probability", "mean_log_probability"])
-
-    return docs.select(key, F.col(text).cast("string")).mapInArrow(
-        run, f"doc_id {dict(docs.dtypes)[key]}, n_words long, log_probability double, mean_log_probability double")
+            for t in batch.column(1).to_pylist():
+                own = Counter(w for w in t.lower().split() if w not in known) if t else {}
+                others.append([{"w": w, "code": codes[w], "k": k} for w, k in own.items()])
+            kind = pa.list_(pa.struct([("w", pa.string()), ("code", pa.int64()), ("k", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(sums, pa.float64()), pa.array(others, kind)],
+                                             names=["doc_id", "n_words", "net", "others"])
+
+    rows = docs.select(key, F.col(text).cast("string")).mapInArrow(
+        run, f"doc_id {dict(docs.dtypes)[key]}, n_words long, net double, others array<struct<w: string, code: long, k: long>>")
+    rows = table(rows.withColumn("_row", F.monotonically_increasing_id()), "lm-scores")
+    rest, classes = shares(counts, words)
+    others = rows.select("_row", F.explode("others").alias("o")).select("_row", "o.w", "o.code", "o.k")
+    others = others.join(rest, "w", "left").join(F.broadcast(classes), "code", "left")
+    share = F.log(F.coalesce("n", F.lit(1)) / F.coalesce("total", F.lit(1)))
+    within = others.groupBy("_row").agg(F.sum(F.col("k") * share).alias("within"))
+    out = rows.drop("others").join(within, "_row", "left").withColumn("_sum", F.col("net") + F.coalesce("within", F.lit(0.0)))
+    return out.select("doc_id", "n_words", F.round("_sum", 4).alias("log_probability"),
+                      F.when(F.col("n_words") > 0, F.round(F.col("_sum") / F.col("n_words"), 6)).alias("mean_log_probability"))
 
 
 def op4_lm_score(spark, sf_dir):
