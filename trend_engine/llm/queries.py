@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trend_engine.llm import licence
+from trend_engine.llm import licence, sql
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _MODULES = {
@@ -22,6 +22,7 @@ _MODULES = {
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
     "op10_fingerprint": "fingerprint",
+    "op12_decontaminate": "decontaminate",
 }
 
 
@@ -43,4 +44,4 @@ def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 QUERIES = {name: _query(name) for name in _MODULES}
 
-ORACLE_SQL = {"op5_licence": licence.SQL}
+ORACLE_SQL = {"op5_licence": licence.SQL, "op12_decontaminate": sql.DECONTAMINATE}
