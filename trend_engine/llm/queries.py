@@ -23,6 +23,7 @@ _MODULES = {
     "op9_toxicity": "toxicity",
     "op10_fingerprint": "fingerprint",
     "op12_decontaminate": "decontaminate",
+    "op13_whitening": "whitening",
 }
 
 
