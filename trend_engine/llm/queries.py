@@ -22,6 +22,7 @@ _MODULES = {
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
     "op10_fingerprint": "fingerprint",
+    "op11_phrases": "phrases",
     "op12_decontaminate": "decontaminate",
     "op13_whitening": "whitening",
 }
@@ -45,4 +46,5 @@ def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 QUERIES = {name: _query(name) for name in _MODULES}
 
-ORACLE_SQL = {"op5_licence": licence.SQL, "op12_decontaminate": sql.DECONTAMINATE}
+ORACLE_SQL = {"op5_licence": licence.SQL, "op11_phrases": sql.PHRASES,
+              "op12_decontaminate": sql.DECONTAMINATE}
