@@ -99,16 +99,9 @@ def serving_from_posts(p: DataFrame, columns: list[str] | None = None) -> DataFr
     return out if columns is None else out.select("id", *[c for c in values if c in columns])
 
 
-def serving(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
-    return serving_from_posts(posts(spark, sf_dir), columns)
-
-
 def stats_from_posts(p: DataFrame) -> DataFrame:
     """Counter rows as the store holds them after the last poll (each poll = one micro-batch,
     epochs numbered from 0, so the last epoch id is the last batch minus one)."""
     from trend_engine.operators.aggregates import batch_counts, last_poll_counts, stat_rows
     per_poll = batch_counts(p, by=["batch"]).selectExpr("*", "batch - 1 AS epoch")
     return stat_rows(last_poll_counts(per_poll, order="batch"))
-
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats_from_posts(posts(spark, sf_dir))

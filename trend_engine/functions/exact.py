@@ -21,21 +21,31 @@ def cents(col: str) -> Column:
     return F.expr(_cents_sql(col))
 
 
-def mean_exact(col: str) -> Column:
+def mean_exact_sql(col: str) -> str:
     """Mean of a two-decimal column: sum of cents / (count · 100), one IEEE division."""
-    return F.expr(
-        f"CAST(sum({_cents_sql(col)}) AS DOUBLE) / CAST(nullif(count({col}), 0) * 100 AS DOUBLE)")
+    return f"CAST(sum({_cents_sql(col)}) AS DOUBLE) / CAST(nullif(count({col}), 0) * 100 AS DOUBLE)"
 
 
-def mean_round2(col: str) -> Column:
-    """``round(avg(col), 2)`` with half-up on the exact mean (away from zero, for either sign)."""
-    c = f"sum({_cents_sql(col)})"
-    n = f"nullif(count({col}), 0)"
+def mean_exact(col: str) -> Column:
+    return F.expr(mean_exact_sql(col))
+
+
+def round2_sql(cents_sum: str, count: str) -> str:
+    """A sum of cents over a count, rounded half-up to 2 places (away from zero, for either sign)."""
+    n = f"nullif({count}, 0)"
     # ``div`` truncates towards zero, so the magnitude is rounded and the sign put back.
-    return F.expr(f"CAST(sign({c}) * ((2 * abs({c}) + {n}) div (2 * {n})) AS DOUBLE) / 100D")
+    return f"CAST(sign({cents_sum}) * ((2 * abs({cents_sum}) + {n}) div (2 * {n})) AS DOUBLE) / 100D"
 
 
-def mean_int(col: str) -> Column:
+def mean_round2(col: str) -> Column:
+    """``round(avg(col), 2)`` with half-up on the exact mean."""
+    return F.expr(round2_sql(f"sum({_cents_sql(col)})", f"count({col})"))
+
+
+def mean_int_sql(col: str) -> str:
     """Mean of an integer column from its exact bigint sum."""
-    return F.expr(f"CAST(sum(CAST({col} AS BIGINT)) AS DOUBLE) / CAST(nullif(count({col}), 0) AS DOUBLE)")
+    return f"CAST(sum(CAST({col} AS BIGINT)) AS DOUBLE) / CAST(nullif(count({col}), 0) AS DOUBLE)"
 
+
+def mean_int(col: str) -> Column:
+    return F.expr(mean_int_sql(col))

@@ -103,10 +103,6 @@ def assign_topic(post_id: str, given: str | None = None) -> Column:
     return F.expr(assign_topic_sql(post_id, given))
 
 
-def topic_bucket(post_id: str) -> Column:
-    return F.expr(topic_bucket_sql(post_id))
-
-
 def cents_sql(score: str) -> str:
     """A two-decimal score as exact integer cents."""
     return f"CAST(round({score} * 100D) AS BIGINT)"

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trend_engine.functions.exact import cents, mean_exact, mean_int, mean_round2
+from trend_engine.functions.exact import cents, mean_exact, mean_exact_sql, mean_int, mean_int_sql, mean_round2, round2_sql
 from trend_engine.functions.scoring import preview, tier
 from trend_engine.functions.timefmt import hour_label
 from trend_engine.schema import STAT_KEYS
@@ -39,17 +39,29 @@ def viral_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_viral"))
 
 
+#: Figures of the topic leaderboard, as aggregate expressions (the operator and the SQL view share them).
+TOPIC_FIGURES = {
+    "post_count": "count(1)",
+    "avg_score": mean_int_sql("score"),
+    "avg_viral_score": mean_exact_sql("viral_score"),
+    "total_comments": "sum(CAST(comments AS BIGINT))",
+    "peak_viral_score": "max(viral_score)",
+}
+
+
 def topic_leaderboard(df: DataFrame, topic_col: str = "subreddit") -> DataFrame:
     """Over viral observations (not distinct posts): count, averages, comment sum and peak per topic."""
     return (viral_only(df).groupBy(topic_col)
-              .agg(F.count(F.lit(1)).alias("post_count"),
-                   mean_int("score").alias("avg_score"),
-                   mean_exact("viral_score").alias("avg_viral_score"),
-                   F.sum(F.col("comments").cast("bigint")).alias("total_comments"),
-                   F.max("viral_score").alias("peak_viral_score"))
+              .agg(*[F.expr(e).alias(name) for name, e in TOPIC_FIGURES.items()])
               .orderBy(F.desc("avg_viral_score"), F.asc(topic_col)))
 
 
+def topic_leaderboard_sql(table: str, topic_col: str = "subreddit") -> str:
+    """The same as a query text over a table, for a view."""
+    figures = ", ".join(f"{e} AS {name}" for name, e in TOPIC_FIGURES.items())
+    return f"SELECT {topic_col}, {figures} FROM {table} WHERE is_viral GROUP BY {topic_col} ORDER BY avg_viral_score DESC, {topic_col}"
+
+
 def batch_counts(df: DataFrame, by: Sequence[str] | None = None,
                  time_col: str | None = "observed_at") -> DataFrame:
     """Rows processed and viral rows (null flags count as not viral), globally or per ``by``."""
@@ -93,13 +105,6 @@ def stat_lookup(map_col: Column, key: str, default: str) -> Column:
     return F.coalesce(map_col.getItem(key), F.lit(default))
 
 
-def serving_figures(serving: DataFrame) -> list[Column]:
-    """Count, average and peak viral score of the serving table (0 when empty)."""
-    return [F.count(F.lit(1)).alias("total_viral_posts"),
-            F.coalesce(mean_round2("viral_score"), F.lit(0.0)).alias("avg_viral_score"),
-            F.coalesce(F.round(F.max("viral_score"), 2), F.lit(0.0)).alias("peak_viral_score")]
-
-
 def poll_summary(df: DataFrame) -> DataFrame:
     """Per poll: posts sent, viral posts, and the first-listed post's 60-char title and score."""
     first = F.min_by(F.struct("title", "score"), F.col("list_rank"))
@@ -125,6 +130,29 @@ def hourly_rollup(df: DataFrame, time_col: str = "observed_at") -> DataFrame:
                    top.alias("top_title")))
 
 
+#: How two hour partials become one.
+HOUR_SUMS = {"total_posts": F.sum, "viral_posts": F.sum, "scored": F.sum, "cents": F.sum, "best": F.max}
+
+
+def hour_parts(df: DataFrame, by: Sequence[str] = (), time_col: str = "observed_at") -> DataFrame:
+    """What ``df`` adds to each UTC hour (per ``by``): counts, cents and the best observation, which is the
+    greatest (viral score, batch, id). Partials of any split of the rows add up to the same hours."""
+    return (df.groupBy(hour_label(time_col, zone=None).alias("hour_bucket"), *by)
+              .agg(F.count(F.lit(1)).alias("total_posts"),
+                   F.count_if(F.col("is_viral")).cast("bigint").alias("viral_posts"),
+                   F.count("viral_score").alias("scored"),
+                   F.sum(cents("viral_score")).alias("cents"),
+                   F.max(F.struct("viral_score", "batch", "id", "title")).alias("best")))
+
+
+def hours_of_parts(parts: DataFrame) -> DataFrame:
+    """``hourly_rollup`` from any number of ``hour_parts``."""
+    both = parts.groupBy("hour_bucket").agg(*[f(c).alias(c) for c, f in HOUR_SUMS.items()])
+    return both.select("hour_bucket", "total_posts", "viral_posts",
+                       F.expr(round2_sql("cents", "scored")).alias("avg_viral_score"),
+                       F.col("best.title").alias("top_title"))
+
+
 def windowed_topics(df: DataFrame, size: str = "1 hour", time_col: str = "observed_at",
                     topic_col: str = "subreddit") -> DataFrame:
     """Topic × tumbling window: post count, averages and comment sum."""

@@ -230,9 +230,8 @@ SQL["stream_viral_latest"] = SQL["viral_posts_latest"]
 SQL["stream_ingest_counts"] = _q("SELECT count(*) AS total_processed, "
                                  "CAST(count_if(is_viral) AS BIGINT) AS viral_detected FROM posts")
 SQL["stream_windowed_topics"] = SQL["windowed_topics"]
-SQL["compacted_viral_latest"] = SQL["viral_posts_latest"]
-# The replay lands 4 drops of consecutive polls, one micro-batch each (epochs 0-3); the counters
-# are those of the last drop.
+# The replay takes 4 ranges of consecutive polls, one micro-batch each (epochs 0-3); the counters
+# are those of the last range.
 SQL["stream_pipeline_stats"] = _q("""
 , bounds AS (SELECT min(batch) AS lo, (max(batch) - min(batch)) // 4 + 1 AS step FROM posts),
 last_drop AS (SELECT * FROM posts WHERE batch >= (SELECT lo + 3 * step FROM bounds))
@@ -242,3 +241,62 @@ UNION ALL SELECT 'last_batch_time', '3'""")
 SQL["raw_posts_topic_view"] = SQL["topic_leaderboard"]
 SQL["raw_posts_viral_view"] = SQL["viral_posts_view"]
 SQL["hourly_stats_orc"] = SQL["hourly_rollup"]
+for _name in ("hourly_incremental", "catalog_hourly"):
+    SQL[_name] = SQL["hourly_rollup"]
+SQL["catalog_topic_leaderboard"] = SQL["topic_leaderboard"]
+SQL["catalog_viral_posts"] = SQL["viral_posts_view"]
+SQL["rebuilt_viral_latest"] = SQL["viral_posts_latest"]
+SQL["landed_items"] = SQL["normalise_items"]
+SQL["stream_score_items"] = SQL["score_items"]
+SQL["analytics_file"] = SQL["analytics_report"]
+SQL["batch_tag"] = _q("SELECT id, list_rank, title, CAST(7 AS INTEGER) AS batch FROM items")
+
+# The producer restarts after half of the polls: poll numbers begin again, the order of sending goes on.
+SQL["stream_restart_order"] = _q("""
+, half AS (SELECT max(batch) // 2 AS h FROM posts)
+SELECT id, title, score, comments, viral_score, source, author,
+       strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
+       CAST(CASE WHEN batch > h THEN batch - h ELSE batch END AS INTEGER) AS batch_num
+FROM posts, half WHERE is_viral
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY batch * 30 + list_rank DESC) = 1""")
+
+# Two report hours: all polls, then the first half (written last, so it stays where the hours agree).
+SQL["report_files"] = _q(f"""
+, versions AS (SELECT 1 AS step, max(batch) AS upto FROM posts UNION ALL SELECT 2, max(batch) // 2 FROM posts),
+seen AS (SELECT step, p.* FROM versions v JOIN posts p ON p.batch <= v.upto),
+stored AS (SELECT * FROM seen WHERE is_viral QUALIFY row_number() OVER (PARTITION BY step, id ORDER BY batch DESC) = 1),
+tops AS (SELECT * FROM stored QUALIFY row_number() OVER (PARTITION BY step ORDER BY viral_score DESC, id ASC) <= 3),
+polls AS (
+  SELECT step, batch, count(*) AS total, count_if(is_viral) AS viral, max(observed_at) AS seen_at FROM seen GROUP BY step, batch
+  QUALIFY row_number() OVER (PARTITION BY step ORDER BY batch DESC) = 1),
+reports AS (
+  SELECT step, seen_at, (SELECT count(*) FROM stored s WHERE s.step = polls.step) AS total_viral_posts,
+         '{{"last_batch_time":"' || (batch - 1) || '","total_processed":"' || total || '","viral_detected":"' || CAST(viral AS BIGINT) || '"}}'
+           AS pipeline_stats,
+         (SELECT to_json(list(struct_pack(title := title, score := score, viral_score := viral_score)
+                              ORDER BY viral_score DESC, id ASC)) FROM tops t WHERE t.step = polls.step) AS top_viral
+  FROM polls)
+SELECT {iso_ny('seen_at')} AS generated_at, strftime({ny('seen_at')}, '%Y-%m-%d %H:00') AS hour, total_viral_posts, pipeline_stats, top_viral,
+       strftime({ny('seen_at')}, '%Y%m%d_%H') AS report_hour
+FROM reports QUALIFY row_number() OVER (PARTITION BY strftime({ny('seen_at')}, '%Y%m%d_%H') ORDER BY step DESC) = 1""")
+
+# Live: one micro-batch of everything (epoch 0). Cached: the payload over the last poll. Empty: nothing.
+ONE_BATCH = """'{"last_batch_time":"0","total_processed":"' || (SELECT count(*) FROM posts) || '","viral_detected":"'
+       || (SELECT CAST(count_if(is_viral) AS BIGINT) FROM posts) || '"}'"""
+SQL["serving_trending"] = _q(f"""
+, top AS (SELECT * FROM serving ORDER BY viral_score DESC, id ASC LIMIT 20),
+board AS (SELECT to_json(list(struct_pack(id := id, title := title, score := score, comments := comments,
+                                          viral_score := viral_score, author := author, source := source)
+                              ORDER BY viral_score DESC, id ASC)) AS trending FROM top),
+total AS (SELECT count(*) AS n FROM serving)
+SELECT 'live' AS source, n AS total_viral_posts, {ONE_BATCH} AS pipeline_stats, CAST(trending AS VARCHAR) AS trending FROM total, board
+UNION ALL SELECT 'cached', n, CAST({STATS_JSON} AS VARCHAR), CAST(trending AS VARCHAR) FROM total, board
+UNION ALL SELECT 'empty', 0, NULL, '[]'""")
+SQL["serving_stats"] = _q(f"""
+, figures AS (SELECT count(*) AS n, {round2('viral_score')} AS average, round(max(viral_score), 2) AS peak FROM serving)
+SELECT 'live' AS source, n AS total_viral_posts, (SELECT CAST(count(*) AS VARCHAR) FROM posts) AS total_processed,
+       (SELECT CAST(CAST(count_if(is_viral) AS BIGINT) AS VARCHAR) FROM posts) AS viral_detected,
+       average AS avg_viral_score, peak AS peak_viral_score, 'ACTIVE' AS pipeline_health FROM figures
+UNION ALL SELECT 'cached', n, (SELECT stat_value FROM stats WHERE stat_key = 'total_processed'),
+       (SELECT stat_value FROM stats WHERE stat_key = 'viral_detected'), average, peak, 'ACTIVE' FROM figures
+UNION ALL SELECT 'empty', 0, NULL, NULL, NULL, NULL, 'CACHED'""")

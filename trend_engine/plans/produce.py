@@ -8,10 +8,12 @@ observation time (``observed_at``), flagged and tagged with the poll number.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from trend_engine.functions.scoring import is_viral_sql, sql_literal, viral_score_sql
 from trend_engine.functions.timefmt import ISO_MICROS
 from trend_engine.sources.items import head_of_list, normalise_items
+from trend_engine.sources.messages import start_publishing
 
 
 def messages_from_items(items: DataFrame, head: int | None = None) -> DataFrame:
@@ -26,3 +28,10 @@ def messages_from_items(items: DataFrame, head: int | None = None) -> DataFrame:
         "id", "title", "score", "comments", "author", "url", "source", "subreddit",
         f"date_format(observed_at, {sql_literal(ISO_MICROS)}) AS timestamp", "unix_time", "viral_score",
         f"{is_viral_sql('viral_score')} AS is_viral", "batch", "list_rank", "observed_at")
+
+
+def start_producer(items: DataFrame, checkpoint: str, fmt: str = "kafka", options: dict | None = None, path: str | None = None,
+                   head: int | None = None, trigger: dict | None = None, name: str = "post_producer") -> StreamingQuery:
+    """The producer stage over a stream of landed items (``read_items(stream=True)``), poll by poll as they
+    arrive; ranks, times and poll numbers come with the items."""
+    return start_publishing(messages_from_items(items, head), checkpoint, fmt, options, path, trigger, name)

@@ -19,7 +19,7 @@ from trend_engine.operators.views import top_viral_posts, viral_posts_view
 from trend_engine.plans import reports
 from trend_engine.plans.produce import messages_from_items
 from trend_engine.session import use_utc
-from trend_engine.sources.items import head_of_list, normalise_items
+from trend_engine.sources.items import head_of_list, normalise_items, with_batch
 from trend_engine.sources.messages import envelope, parse_posts
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -71,6 +71,11 @@ def q_score_items(spark, sf):
         "is_viral")
 
 
+def q_batch_tag(spark, sf):
+    """Items of a poller that does not number its polls, numbered on the way in."""
+    return with_batch(_items(spark, sf).drop("batch"), 7).select("id", "list_rank", "title", "batch")
+
+
 def q_assign_topic(spark, sf):
     return normalise_items(_items(spark, sf)).select("id", "batch", F.col("subreddit").alias("topic"))
 
@@ -178,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_items": q_normalise_items,
     "fetch_posts": q_fetch_posts,
     "score_items": q_score_items,
+    "batch_tag": q_batch_tag,
     "assign_topic": q_assign_topic,
     "publish_envelope": q_publish_envelope,
     "parse_posts": q_parse_posts,

@@ -9,8 +9,8 @@ Each report is ONE global aggregate over a tagged union of three row sets:
 
 ``collect_list`` only ever sees the ``t`` and ``s`` rows, so what reaches the single final
 aggregate task is bounded by k + number of stat keys, whatever the data size. No join (and no
-cross join) is needed to put the pieces on one row. Catalyst prunes each branch on its own: a
-branch that only counts posts shrinks to a distinct-id aggregate, without the max_by.
+cross join) is needed to put the pieces on one row. Where the serving rows are derived from observations, the
+counting and the top-k branch share one latest-per-key shuffle.
 """
 
 from __future__ import annotations
@@ -81,8 +81,11 @@ def _now(now) -> Column:
 
 
 def _figures() -> list[Column]:
-    is_post = F.col("_kind") == F.lit("p")
-    return [F.count_if(is_post).cast("bigint").alias("total_viral_posts"),
+    is_post, scored = F.col("_kind") == F.lit("p"), F.col("viral_score").isNotNull()
+    # Counted in two parts so that this branch needs the packed latest row as the top-k branch does: the
+    # two then share one shuffle of the posts (ReusedExchange) instead of each reducing them anew.
+    total = F.count_if(is_post & scored) + F.count_if(is_post & ~scored)
+    return [total.cast("bigint").alias("total_viral_posts"),
             F.coalesce(mean_round2("viral_score"), F.lit(0.0)).alias("avg_viral_score"),
             F.coalesce(F.round(F.max("viral_score"), 2), F.lit(0.0)).alias("peak_viral_score")]
 

@@ -1,13 +1,17 @@
-"""Serving reads: pick the live store, else a saved snapshot, else an empty answer; tag ``source``.
+"""Serving reads: the live store, else a saved snapshot, else an empty answer; tagged by ``source``.
 
-Each function returns a one-row DataFrame (the response body); rendering it as JSON is
-``to_json(struct(*))`` or ``write.json``.
+A source can fail after its plan was made: a file that cannot be read shows only in a task. So each
+candidate is computed and looked at before it is chosen; a response is one row, and that row is what
+reaches the driver. Rendering it as JSON is ``to_json(struct(*))`` or ``write.json``.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, MapType, StringType,
                                StructField, StructType)
@@ -34,21 +38,48 @@ STATS_BODY = StructType([
 HEALTH_CACHED = "CACHED"
 
 
-def _snapshot(spark: SparkSession, path: str | None, schema: StructType) -> DataFrame | None:
+class SourceMissing(Exception):
+    """The source has nothing to read."""
+
+
+def resolve_source(candidates: list[Callable[[], DataFrame]], valid: Callable[[dict], bool]) -> DataFrame:
+    """The first candidate that can be computed and is valid (the last one is taken as it is).
+
+    Only errors of Spark and its storage move on to the next candidate; others are raised.
+    """
+    for build in candidates[:-1]:
+        try:
+            response = build()
+            rows = response.collect()
+        except (SourceMissing, PySparkException, Py4JJavaError):
+            continue
+        if len(rows) == 1 and valid(rows[0].asDict()):
+            return _sorted_maps(response.sparkSession.createDataFrame(rows, response.schema))
+    return candidates[-1]()
+
+
+def _sorted_maps(response: DataFrame) -> DataFrame:
+    """Map columns in the order of their keys (a row from the driver comes in any order)."""
+    return response.select(*[F.map_from_entries(F.array_sort(F.map_entries(f.name))).alias(f.name)
+                             if isinstance(f.dataType, MapType) else F.col(f.name) for f in response.schema.fields])
+
+
+def save_snapshot(response: DataFrame, path: str) -> None:
+    """Keep a response as the JSON file that stands in when the store cannot be read."""
+    response.coalesce(1).write.mode("overwrite").json(path)
+
+
+def _snapshot(spark: SparkSession, path: str | None, schema: StructType) -> DataFrame:
     if not path:
-        return None
-    try:
-        df = spark.read.schema(schema).option("multiLine", "true").json(path)
-    except AnalysisException:
-        return None
-    return df if not df.isEmpty() else None
+        raise SourceMissing
+    saved = spark.read.schema(schema).option("multiLine", "true").json(path)
+    return saved.withColumn("source", F.lit(CACHED))
 
 
-def resolve_source(spark: SparkSession, root: str | None, snapshot: str | None = None,
-                   schema: StructType = TRENDING_BODY) -> str:
-    if root and store.store_exists(spark, root):
-        return LIVE
-    return CACHED if _snapshot(spark, snapshot, schema) is not None else EMPTY
+def _live_tables(spark: SparkSession, root: str | None, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    if not root or not store.store_exists(spark, root):
+        raise SourceMissing
+    return store.viral_latest(spark, root, columns), store.stats_latest(spark, root)
 
 
 def _order(df: DataFrame, schema: StructType) -> DataFrame:
@@ -57,27 +88,34 @@ def _order(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def trending_response(spark: SparkSession, root: str | None, snapshot: str | None = None,
-                      now=None) -> DataFrame:
-    src = resolve_source(spark, root, snapshot, TRENDING_BODY)
-    if src == LIVE:
-        serving = store.viral_latest(spark, root, reports.TRENDING_TOP[2])
-        return _order(reports.trending_payload(serving, store.stats_latest(spark, root), LIVE, now), TRENDING_BODY)
-    if src == CACHED:
-        return _order(_snapshot(spark, snapshot, TRENDING_BODY).withColumn("source", F.lit(CACHED)), TRENDING_BODY)
-    body = spark.range(1).select(
-        iso_local(F.current_timestamp()).alias("generated_at"), F.lit(0).cast("bigint").alias("total_viral_posts"),
-        F.lit(EMPTY).alias("source"), F.expr("CAST(NULL AS MAP<STRING, STRING>)").alias("pipeline_stats"),
-        F.array().cast(ArrayType(TRENDING_POST)).alias("trending"))
-    return _order(body, TRENDING_BODY)
+                      now: Column | None = None) -> DataFrame:
+    """The board response: the store's counters and 20 best posts, stamped with the time of the call
+    (``now`` for another one)."""
+    def live():
+        serving, stats = _live_tables(spark, root, reports.TRENDING_TOP[2])
+        at = F.current_timestamp() if now is None else now
+        return _order(reports.trending_payload(serving, stats, LIVE, at), TRENDING_BODY)
+
+    def empty():
+        body = spark.range(1).select(
+            iso_local(F.current_timestamp()).alias("generated_at"), F.lit(0).cast("bigint").alias("total_viral_posts"),
+            F.lit(EMPTY).alias("source"), F.expr("CAST(NULL AS MAP<STRING, STRING>)").alias("pipeline_stats"),
+            F.array().cast(ArrayType(TRENDING_POST)).alias("trending"))
+        return _order(body, TRENDING_BODY)
+
+    return resolve_source([live, lambda: _order(_snapshot(spark, snapshot, TRENDING_BODY), TRENDING_BODY), empty],
+                          lambda r: r["total_viral_posts"] is not None and r["trending"] is not None)
 
 
 def stats_response(spark: SparkSession, root: str | None, snapshot: str | None = None) -> DataFrame:
-    src = resolve_source(spark, root, snapshot, STATS_BODY)
-    if src == LIVE:
-        serving = store.viral_latest(spark, root, ["viral_score"])
-        return _order(reports.stats_payload(serving, store.stats_latest(spark, root), LIVE), STATS_BODY)
-    if src == CACHED:
-        return _order(_snapshot(spark, snapshot, STATS_BODY).withColumn("source", F.lit(CACHED)), STATS_BODY)
-    body = spark.range(1).select(F.lit(0).cast("bigint").alias("total_viral_posts"),
-                                 F.lit(HEALTH_CACHED).alias("pipeline_health"), F.lit(EMPTY).alias("source"))
-    return _order(body, STATS_BODY)
+    """The figures response: stored posts, counters, average and peak."""
+    def live():
+        return _order(reports.stats_payload(*_live_tables(spark, root, ["viral_score"]), LIVE), STATS_BODY)
+
+    def empty():
+        body = spark.range(1).select(F.lit(0).cast("bigint").alias("total_viral_posts"),
+                                     F.lit(HEALTH_CACHED).alias("pipeline_health"), F.lit(EMPTY).alias("source"))
+        return _order(body, STATS_BODY)
+
+    return resolve_source([live, lambda: _order(_snapshot(spark, snapshot, STATS_BODY), STATS_BODY), empty],
+                          lambda r: r["total_viral_posts"] is not None)

@@ -1,6 +1,9 @@
-"""Fixed schemas: raw items, post messages and the stored tables."""
+"""Fixed schemas: raw items, post messages and the stored tables.
 
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType,
+Fixed values: the field names and types of all of them are wire and table formats.
+"""
+
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, MapType, StringType,
                                StructField, StructType, TimestampNTZType, TimestampType)
 
 # The provided event table that the post observations are derived from. Reading with a
@@ -47,6 +50,14 @@ MESSAGE_FIELDS = [f.name for f in POST_MESSAGE.fields]
 PUBLISHED_FIELDS = ["id", "title", "score", "comments", "author", "url", "source", "subreddit",
                     "timestamp", "unix_time", "viral_score", "is_viral", "batch"]
 
+# A message as a topic holds it.
+ENVELOPE = StructType([
+    StructField("key", StringType()),
+    StructField("value", StringType()),
+    StructField("partition", IntegerType()),
+    StructField("offset", LongType()),
+])
+
 # Every observation, as the delimited raw table stores it (``batch`` is ``batch_num`` here).
 RAW_POSTS = StructType([
     StructField("id", StringType()),
@@ -100,5 +111,21 @@ HOURLY_STATS = StructType([
     StructField("top_title", StringType()),
 ])
 
+_POST = {f.name: f for f in VIRAL_POSTS.fields}
+_STATS = StructField("pipeline_stats", MapType(StringType(), StringType()))
+ANALYTICS_RESULT = StructType([
+    StructField("generated_at", StringType()),
+    StructField("total_viral_posts", LongType()),
+    _STATS,
+    StructField("top_posts", ArrayType(StructType([_POST[c] for c in ("id", "title", "viral_score")]))),
+])
+REPORT = StructType([
+    StructField("generated_at", StringType()),
+    StructField("hour", StringType()),
+    StructField("total_viral_posts", LongType()),
+    _STATS,
+    StructField("top_viral", ArrayType(StructType([_POST[c] for c in ("title", "score", "viral_score")]))),
+])
+
 # Counter keys written per micro-batch.
 STAT_KEYS = ["total_processed", "viral_detected", "last_batch_time"]

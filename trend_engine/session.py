@@ -85,12 +85,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused directory under the shared root."""
     return f"{shared_root(spark)}/trend-engine/{purpose}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` or bare paths, else None (remote store)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
 from trend_engine.functions.scoring import assign_topic_sql
 from trend_engine.schema import RAW_ITEM
@@ -19,6 +19,11 @@ SOURCE_TAG = "hackernews"
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+#: What the landing job adds to an item: poll number, place in the ranked list, time of the poll.
+LANDED_FIELDS = [StructField("batch", IntegerType()), StructField("list_rank", IntegerType()),
+                 StructField("observed_at", TimestampType())]
+
+
 def land_items(items: DataFrame, path: str) -> None:
     """Append raw items as JSON lines (the landing side of ``read_items``)."""
     items.write.mode("append").option("timestampFormat", JSON_TS_FORMAT).json(path)
@@ -26,14 +31,14 @@ def land_items(items: DataFrame, path: str) -> None:
 
 def read_items(spark: SparkSession, path: str, stream: bool = False, extra_fields=None) -> DataFrame:
     """JSON-lines items with a fixed schema (no inference). ``extra_fields`` are appended
-    (e.g. ``batch``/``list_rank``/``observed_at`` written by the landing job)."""
+    (``LANDED_FIELDS``: what the landing job adds)."""
     schema = StructType(list(RAW_ITEM.fields) + list(extra_fields or []))  # a copy: add() mutates
     reader = spark.readStream if stream else spark.read
     return reader.schema(schema).option("timestampFormat", JSON_TS_FORMAT).json(path)
 
 
 def with_batch(df: DataFrame, n: int) -> DataFrame:
-    """Tag every row with the poll number ``n`` (the streaming job uses the epoch id instead)."""
+    """Tag every row with the poll number ``n`` (items landed by a poller that does not number its polls)."""
     return df.withColumn("batch", F.lit(int(n)).cast("int"))
 
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from trend_engine.functions.timefmt import parse_iso_utc
-from trend_engine.schema import MESSAGE_FIELDS, POST_MESSAGE, PUBLISHED_FIELDS
+from trend_engine.schema import ENVELOPE, MESSAGE_FIELDS, POST_MESSAGE, PUBLISHED_FIELDS
 
 # Kafka defaults; the topic is configurable (``subscribe`` / ``topic`` options).
 POSTS_TOPIC = "trend_posts"
@@ -39,17 +40,29 @@ def publish_posts(posts: DataFrame, fmt: str = "kafka", options: dict | None = N
         env.select("value").write.mode("append").text(path)
 
 
+def start_publishing(posts: DataFrame, checkpoint: str, fmt: str = "kafka", options: dict | None = None, path: str | None = None,
+                     trigger: dict | None = None, name: str = "publish") -> StreamingQuery:
+    """The same for a stream of posts; files hold the whole envelope (key and value) as Parquet."""
+    env = envelope(posts)
+    if fmt == "kafka":
+        writer = env.writeStream.format("kafka").options(**{"topic": POSTS_TOPIC, **(options or {})})
+    else:
+        writer = env.writeStream.format("parquet").option("path", path)
+    return writer.queryName(name).option("checkpointLocation", checkpoint).outputMode("append").trigger(
+        **(trigger or {"processingTime": "15 seconds"})).start()
+
+
 def read_posts_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
-                      path: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw message stream with ``value`` (string) and, for Kafka, ``partition``/``offset``."""
+                      path: str | None = None) -> DataFrame:
+    """Raw message stream with ``value`` (string) and ``partition``/``offset``: from Kafka, from Parquet
+    files with Kafka's columns (``parquet``), or from lines of text (``file``, without offsets)."""
     if fmt == "kafka":
         opts = {**KAFKA_DEFAULTS, **(options or {})}
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("value").cast("string").alias("value"), "partition", "offset")
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.options(**(options or {})).load(path)
+    if fmt == "parquet":
+        return spark.readStream.schema(ENVELOPE).options(**(options or {})).parquet(path).select("value", "partition", "offset")
+    raw = spark.readStream.format("text").options(**(options or {})).load(path)
     return raw.select("value", F.lit(None).cast("int").alias("partition"),
                       F.lit(None).cast("long").alias("offset"))
 

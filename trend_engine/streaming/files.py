@@ -1,54 +1,24 @@
-"""Landing post messages as JSON-lines files for the file-source path of the stream.
+"""Replaying stored observations through the streaming jobs: messages landed as Parquet files with
+Kafka's columns (key, value, partition, offset).
 
-Messages are landed in ``drops``: consecutive poll ranges, each written by its own job (into
-its own ``drop=NNNN`` directory) after the previous one finished, so file modification times
-follow poll order. The stream reads them through the ``landed(path)`` glob. With
-``maxFilesPerTrigger`` equal to the files per drop, each micro-batch takes one drop, in order
-(what a Kafka partition gives per key). Used to replay stored observations through the
-streaming jobs and for tests; production reads Kafka.
+A topic partition keeps a key's messages in order; here ``partition`` is a hash of the key and ``offset``
+the arrival number the caller gives, so order within a key survives files of any number and size.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trend_engine.schema import ENVELOPE
 from trend_engine.sources.messages import envelope
 
+#: Partitions of the replayed topic.
+TOPIC_PARTITIONS = 4
 
-def land_messages(posts: DataFrame, path: str, drops: int = 4, files_per_drop: int | None = None,
-                  rows_per_file: int = 1_000_000, first_drop: int = 0) -> int:
-    """Write ``posts`` as message files in ``drops`` poll ranges; returns files per drop.
 
-    The messages are built once and staged partitioned by drop (a single pass over the input),
-    then each drop is published from its own staged partition, in order, into
-    ``drop=NNNN`` (overwrite: re-running is idempotent), so file times follow poll order.
-    Every drop gets the same number of files (by default ~``rows_per_file`` rows each), which
-    makes ``maxFilesPerTrigger`` = that number take exactly one drop per micro-batch. Drops are
-    numbered from ``first_drop``. Only the poll range bounds and the row count (one scalar
-    aggregate) reach the driver.
-    """
-    root = path.rstrip("/")
-    lo, hi, n = posts.agg(F.min("batch"), F.max("batch"), F.count(F.lit(1))).first()
-    if files_per_drop is None:
-        files_per_drop = max(1, -(-n // (drops * rows_per_file)))
-    if lo is None:
-        return files_per_drop
-    step = (hi - lo) // drops + 1
-    staging = f"{root}.staging-{first_drop:04d}"
-    drop = F.floor((F.col("batch") - F.lit(lo)) / F.lit(step)).cast("int").alias("drop")
-    envelope(posts.select("*", drop), keep=["drop"]).select("value", "drop") \
-        .write.mode("overwrite").partitionBy("drop").text(staging)
-    for i in range(drops):
-        try:
-            part = posts.sparkSession.read.text(f"{staging}/drop={i}")
-        except AnalysisException:
-            continue  # fewer polls than drops: this drop has no rows
-        part.repartition(files_per_drop).write.mode("overwrite").text(f"{root}/drop={first_drop + i:04d}")
-    return files_per_drop
-
-
-def landed(path: str) -> str:
-    """The glob the file-source stream reads the landed drops from."""
-    return f"{path.rstrip('/')}/drop=*"
+def land_envelopes(posts: DataFrame, path: str, arrival: Column, partitions: int = TOPIC_PARTITIONS) -> None:
+    """Append the messages of ``posts``; ``arrival`` numbers them in the order they were sent."""
+    rows = envelope(posts.withColumn("offset", arrival.cast("long")), keep=["offset"])
+    spread = F.pmod(F.xxhash64(F.coalesce("key", F.lit(""))), F.lit(partitions)).cast("int")
+    rows.withColumn("partition", spread).select(*ENVELOPE.fieldNames()).write.mode("append").parquet(path)
