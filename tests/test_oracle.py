@@ -36,8 +36,8 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF_SMALL)
+def test_query_matches_oracle(result, con, name):
+    df = result(name)
     rows = df.collect()
     rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)

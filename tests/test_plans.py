@@ -17,18 +17,9 @@ def test_topk_is_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in plan
 
 
-PLANS = {}
-
-
-def _plan_of(spark, name):
-    if name not in PLANS:
-        PLANS[name] = _plan(QUERIES[name](spark, SF_SMALL))
-    return PLANS[name]
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_udf(spark, name):
-    plan = _plan_of(spark, name)
+def test_no_python_udf(result, name):
+    plan = _plan(result(name))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -65,8 +56,8 @@ def test_latest_per_key_has_partial_aggregate(spark):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join(spark, name):
-    plan = _plan_of(spark, name)
+def test_no_cross_join(result, name):
+    plan = _plan(result(name))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -79,8 +70,8 @@ def test_reports_reduce_the_posts_once(spark, name):
     assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 1
 
 
-def test_report_gathers_top_and_counter_rows_only(spark):
-    plan = _plan_of(spark, "trend_report")
+def test_report_gathers_top_and_counter_rows_only(result):
+    plan = _plan(result("trend_report"))
     assert "TakeOrderedAndProject(limit=3" in plan
     # posts reach the union as two flags; only top rows and counters carry values into the lists
     assert plan.count("collect_list") >= 2 and "null AS _top" in plan and "null AS _stat" in plan
