@@ -7,13 +7,12 @@
    union are the register-wise maxima, so sketches merge.
 3. ``BANDS`` bands of ``ROWS`` registers make buckets. A pair at the threshold 0.8 shares none with
    probability (1 - 0.8^5)^48 = 5e-9.
-4. Round one links every member of a bucket with the bucket's centre, a line of links instead of
-   all pairs. Later rounds look at buckets that still hold several groups: members outside the
-   bucket's largest group are compared with the others through their registers, block by block, and
-   per member and foreign group the ``top`` most similar come back; buckets with more of them come
-   again with a larger ``top``, until none is left. So no pair between groups is dropped.
-5. Each returned pair passes the maximum-likelihood estimate of its Jaccard similarity, then an
-   exact comparison of the full sets. Only confirmed links make components.
+4. First every member of a bucket is compared with the bucket's centre, a line of links instead of all
+   pairs: the maximum-likelihood estimate of the Jaccard similarity, then an exact comparison of the
+   full sets. Then the buckets that still hold several groups: members outside a bucket's largest
+   group are compared with the others, tile by tile, by estimate and on their full sets, and a tile gives
+   back the links that join its groups. Rejected pairs never leave a task. So every pair of a
+   bucket is compared or already in one group, and only confirmed links make components.
 
 Cases: null or blank text has no shingles and is linked with nothing; fewer words than a shingle
 are one shingle; rows that repeat a doc_id and its text are one class (each is its own component's
@@ -45,9 +44,7 @@ SEEN, ERRORS = 160, 4.5
 STEPS = 12
 WIDTH, PERCENT = 5, 80
 #: Members of a bucket that are compared in one piece (a larger bucket is tiled over tasks).
-TILE = 2048
-#: Most similar members per member and foreign group in the first such round (16 times as many in each next).
-TOP = 64
+TILE = 1024
 
 _MULTIPLIERS = H.mix(np.arange(1, M + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 
@@ -184,11 +181,13 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _between(mixed: DataFrame, regs: DataFrame, top: int, percent: int) -> DataFrame:
-    """key, a, b, more: likely pairs of different groups of one bucket.
+def _between(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between different groups of one bucket, enough of them to join all groups that are linked.
 
     `mixed`: key, node, comp, size, small (outside the bucket's largest group), smalls (how many).
-    Per member and foreign group the `top` most similar; more: the bucket has further ones.
+    Every pair of different groups is compared through its registers and, where these don't rule the
+    threshold out, on its full sets, unless earlier links of the tile have joined its groups. Only the links
+    that join groups leave the task: fewer than the tile has members, however many pairs are rejected.
     """
     floor = lowest(percent)
     wide = F.greatest(F.ceil(F.col("size") / TILE), F.lit(1)).cast("int")
@@ -199,25 +198,34 @@ def _between(mixed: DataFrame, regs: DataFrame, top: int, percent: int) -> DataF
     as_left = F.transform(F.sequence(F.lit(0), wide - 1), lambda j: F.struct(F.col("_row").alias("i"), j.alias("j")))
     tiles = F.when(F.col("small"), F.array_union(as_right, as_left)).otherwise(as_right)
     rows = rows.withColumn("_tile", F.explode(tiles)).select(
-        "key", F.col("_tile.i").alias("i"), F.col("_tile.j").alias("j"), "node", "comp",
+        "key", F.col("_tile.i").alias("i"), F.col("_tile.j").alias("j"), "node", "comp", "small",
         (F.col("small") & (F.col("_row") == F.col("_tile.i"))).alias("l"), (F.col("_col") == F.col("_tile.j")).alias("r"))
-    rows = rows.join(regs, "node").select("key", "i", "j", "node", "comp", "l", "r", "n", "seen")
-
-    def tile(g: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        regs_, n = np.frombuffer(b"".join(g["seen"]), np.uint16).reshape(len(g), -1), g["n"].to_numpy(float)
-        node, comp, small = g["node"].to_numpy(), g["comp"].to_numpy(), g["l"].to_numpy()
-        right = np.flatnonzero(g["r"].to_numpy())
-        for a in np.flatnonzero(small):
-            b = right[(comp[right] != comp[a]) & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))]
-            b = b[(regs_[b] == regs_[a]).sum(1) >= (floor - 0.03) * regs_.shape[1]]
+    rows = rows.join(sets, "node").select("key", "i", "j", "node", "comp", "small", "l", "r", "n", "seen", "members")
+
+    def tile(g: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        regs_, n = np.frombuffer(b"".join(g["seen"]), np.uint16).reshape(len(g), -1), g["n"].to_numpy()
+        node, small, is_right = g["node"].to_numpy(), g["small"].to_numpy(), g["r"].to_numpy()
+        members = g["members"].to_numpy()
+        # Groups of the tile, joined as links are found: `group[i]` is the current group of row i.
+        group = np.unique(g["comp"].to_numpy(), return_inverse=True)[1]
+        width = regs_.shape[1]
+        for a in np.flatnonzero(g["l"].to_numpy()):
+            # Two rows outside the largest group meet in two tiles: one of them does.
+            b = np.flatnonzero(is_right & (group != group[a]) & (100 * np.minimum(n, n[a]) >= percent * np.maximum(n, n[a]))
+                               & (~small | (node > node[a])))
+            b = b[(regs_[b] == regs_[a]).sum(1) >= (floor - 0.03) * width]
             if not len(b):
                 continue
-            likely = estimate(np.broadcast_to(regs_[a], (len(b), regs_.shape[1])), regs_[b], np.full(len(b), n[a]), n[b])
+            likely = estimate(np.broadcast_to(regs_[a], (len(b), width)), regs_[b], np.full(len(b), float(n[a])), n[b].astype(float))
             b, likely = b[likely >= floor], likely[likely >= floor]
-            order = np.lexsort((node[b], -likely, comp[b]))
-            b = b[order]
-            rank = np.arange(len(b)) - np.searchsorted(comp[b], comp[b])
-            yield np.full((rank < top).sum(), node[a]), node[b[rank < top]], bool((rank >= top).any())
+            mine = np.frombuffer(members[a], np.uint64)
+            for k in b[np.lexsort((node[b], -likely))].tolist():
+                if group[k] == group[a]:
+                    continue
+                both = len(np.intersect1d(mine, np.frombuffer(members[k], np.uint64), assume_unique=True))
+                if 100 * both >= percent * (int(n[a]) + int(n[k]) - both):
+                    group[group == group[k]] = group[a]
+                    yield min(int(node[a]), int(node[k])), max(int(node[a]), int(node[k]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -228,18 +236,12 @@ def _between(mixed: DataFrame, regs: DataFrame, top: int, percent: int) -> DataF
             new = np.flatnonzero((name[1:] != name[:-1]).any(1)) + 1
             cuts = [0, *new.tolist()] + [len(rows_)] * last
             kept = None if last else rows_.iloc[cuts[-1]:]
-            out: list[tuple] = []
-            for p, q in zip(cuts[:-1], cuts[1:], strict=True):
-                g = rows_.iloc[p:q]
-                for x, y, more in tile(g):
-                    out += [(int(name[p, 0]), min(s, t), max(s, t), more) for s, t in zip(x.tolist(), y.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(
-                (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], names=["key", "a", "b", "more"])
+            out = [link for p, q in zip(cuts[:-1], cuts[1:], strict=True) for link in tile(rows_.iloc[p:q])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(2)], names=["a", "b"])
 
     # A set number of partitions: tiles are small in bytes and would be merged into few tasks.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(
-        run, "key long, a long, b long, more boolean")
+    return rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node").mapInArrow(run, "a long, b long")
 
 
 def _with_last(batches):
@@ -254,8 +256,7 @@ def _with_last(batches):
         yield True, before
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", key: str = "doc_id",
-                    top: int = TOP) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id: one row per row of `docs`.
 
     component_id is the smallest doc_id reachable over links of Jaccard similarity `percent` / 100
@@ -278,19 +279,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     centre = buckets.groupBy("key").agg(F.min("node").alias("c"))
     stars = buckets.join(centre, "key").where("node <> c").select(*_ordered(F.col("node"), F.col("c"))).distinct()
     tested = table(_confirmed(_likely(stars, regs, percent), sets, percent), "near-links")
-    groups, top, open_ = components(tested.where("ok").select("a", "b"), "near-groups"), top, buckets
-    while True:
-        mixed = _mixed(open_, groups)
-        found = table(_between(mixed, regs, top, percent), "near-between")
-        fresh = found.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = table(_confirmed(fresh, sets, percent), "near-links")
-        tested = tested.unionByName(fresh)
-        if not fresh.where("ok").isEmpty():
-            groups = components(tested.where("ok").select("a", "b"), "near-groups")
-        again = found.where("more").select("key").distinct()
-        if again.isEmpty():
-            break
-        open_, top = open_.join(again, "key", "left_semi"), top * 16
+    links = tested.where("ok").select("a", "b")
+    groups = components(links, "near-groups")
+    more = table(_between(_mixed(buckets, groups), sets.join(regs.select("node", "seen"), "node"), percent), "near-between")
+    if not more.isEmpty():
+        groups = components(links.unionByName(more), "near-groups")
     lowest_id = slim.join(groups, "node").groupBy("component").agg(F.min("doc_id").alias("lowest"))
     by_node = groups.join(lowest_id, "component").select("node", "lowest")
     alone = slim.groupBy("node").agg(F.min("doc_id").alias("own"))
