@@ -11,7 +11,8 @@ One pass, no shuffle: groups never leave their partition. A lost task repeats th
 scan partitions and the order within them are fixed; sequence ids carry the partition's number.
 
 Tokens: a byte-level BPE never joins letters across the start of a blank-led word, so words are
-looked up in a table that the tokenizer itself filled; it sees every distinct word once.
+looked up in a table that the tokenizer itself filled; it sees every distinct word once. Texts are cut
+and their words' ids put together column-wise; Python handles the distinct words of a portion only.
 
 Cases: null and empty texts are the end token alone; repeated rows are packed each; a text of any
 length is cut as needed; a null doc_id keeps null; no rows give no pieces; of extra columns nothing
@@ -31,8 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trend_engine.llm._text import portions
+
 #: Tokens of a sequence, tokens of a group, end of a document.
 LENGTH, GROUP, END = 1024, 1 << 20, 0
+#: Bytes of text that are tokenised at once.
+PORTION = 1 << 24
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 #: A word with or without one blank before it, nothing else.
 _PIECE = re.compile(r" ?\S+\Z")
@@ -72,7 +77,7 @@ class Words(dict):
             out += [raw[p:q] for p, q in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist(), strict=True)]
         return out
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Fill in `words`; one that isn't a piece gets None."""
         if len(self) > self.most:
             self.clear()
@@ -84,24 +89,48 @@ class Words(dict):
         self.update((w, None) for w in new if w not in self)
         self["\n"] = self.mark
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Texts whose blanks don't stand alone are encoded directly."""
-        parts = [self._words(t) for t in texts]
-        self.learn({w for p in parts for w in p})
-        out: list[bytes | None] = []
-        for p in parts:
-            found = list(map(self.__getitem__, p))
-            out.append(None if None in found else b"".join(found))
-        rest = iter(self.encode([t for t, i in zip(texts, out, strict=True) if i is None]))
-        return [next(rest) if i is None else i for i in out]
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Pieces that are tokenised alone as they are in the text: words with the blank before
-        them, single line ends, and first words of lines."""
-        if not text or "\0" in text:
-            return [""] if text else []
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column (null: none). Texts whose blanks don't stand alone
+        are encoded directly."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        pieces, first, direct = _pieces(texts)
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.cast(pa.string()).to_pylist()
+        self.learn(names)
+        known = [self[w] for w in names]
+        missing = np.array([k is None for k in known], bool)
+        which = coded.indices.to_numpy()
+        row = np.repeat(np.arange(len(texts)), np.diff(first))
+        direct[row[missing[which]]] = True
+        # All ids one after another; a text's are those of its pieces.
+        joined = pa.array([k or b"" for k in known], pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[: len(which) + 1]
+        data = joined.buffers()[2].to_pybytes() if len(which) else b""
+        bounds = ends[first].tolist()
+        rest = iter(self.encode(texts.filter(pa.array(direct)).to_pylist()))
+        return [next(rest) if d else data[a:b] for d, a, b in zip(direct.tolist(), bounds, bounds[1:], strict=False)]
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Pieces that are tokenised alone as they are in the text: words with the blank before them, single
+    line ends, and first words of lines. Returns them, the number of pieces before each text and at the
+    end, and whether a text must be encoded directly (a zero byte, line ends that touch)."""
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    line = raw == 0x0A
+    start = (raw == 0x20) | line
+    start[1:] |= line[:-1]
+    start[offsets[:-1][offsets[:-1] < len(raw)]] = True
+    at = np.flatnonzero(start)
+    bounds = np.append(at, len(raw)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))])
+    odd = raw == 0
+    odd[1:] |= line[1:] & line[:-1]
+    direct = np.zeros(n, bool)
+    direct[np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1] = True
+    return pieces, np.searchsorted(at, offsets), direct
 
 
 @functools.lru_cache(maxsize=1)
@@ -149,18 +178,15 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, group:
         words = _words_of(path)
         first, last = TaskContext.get().partitionId() << 40, np.array([end], "<u4").tobytes()
         held_keys, held_ids, held, used = [], [], 0, 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                ids = [i + last for i in words.ids([t or "" for t in part.column(1).to_pylist()])]
-                for k, i in zip(part.column(0).to_pylist(), ids, strict=True):
-                    held_keys.append(k)
-                    held_ids.append(i)
-                    held += len(i) // 4
-                    if held >= group:
-                        rows, n = packed(held_keys, held_ids, first + used)
-                        yield rows
-                        held_keys, held_ids, held, used = [], [], 0, used + n
+        for part in portions(batches, 1, PORTION):
+            for k, i in zip(part.column(0).to_pylist(), words.ids(part.column(1)), strict=True):
+                held_keys.append(k)
+                held_ids.append(i + last)
+                held += len(i) // 4 + 1
+                if held >= group:
+                    rows, n = packed(held_keys, held_ids, first + used)
+                    yield rows
+                    held_keys, held_ids, held, used = [], [], 0, used + n
         if held_keys:
             yield packed(held_keys, held_ids, first + used)[0]
 
