@@ -46,8 +46,10 @@ def test_near_duplicates_against_all_pairs(spark):
             texts.append(" ".join(words))
     docs = frame(spark, texts)
     got = {r.doc_id: r for r in near_duplicates(docs).collect()}
-    # A first round of one member each needs more rounds and finds the same.
-    assert {r.doc_id: r for r in near_duplicates(docs, top=1).collect()} == got
+    # Tiles of three members make many tiles and find the same.
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(near_dedup, "TILE", 3)
+        assert {r.doc_id: r for r in near_duplicates(docs).collect()} == got
     sets = []
     for t in texts:
         w = (t or "").lower().split()
@@ -189,6 +191,42 @@ def test_word_table_gives_the_tokenizers_ids():
     words = packing.Words(packing.tokenizer_path())
     texts = ["", " a", "a  b   c\n\n d\t x", "x\n y \n\nz ", "it's 'sx a 's", "<|endoftext|>", "é ü b\x1cb", "a\0b c", "the cat.\nThe end!!"]
     assert words.ids(texts) == words.encode(texts)
+    texts = ["\nabc", "abc\n", "\n", "a\n\nb", "\n\n", " ", "  ", "a ", "\n a", "a \n b", "日本 語。\n次", "x\ry z\tw", "I'll go. (Now) 12,5 a-b\u00a0c"]
+    assert words.ids(texts) == words.encode(texts)
+    assert words.ids([None, "a b", None]) == [b"", *words.encode(["a b"]), b""]
+
+
+def test_pack_gives_the_tokenizers_ids(spark):
+    rng = np.random.default_rng(4)
+    names = ["alpha", "Beta,", "gamma.", "d", "épsilon", "(zeta)", "12", "it's"]
+    rows = [(i, " ".join(rng.choice(names, int(rng.integers(1, 900)))), "en") for i in range(40)]
+    rows += [(None, "no id here", "en"), (3, rows[3][1], "en"), (50, None, "en"), (51, "", "en"), (52, "long text\n" * 20_000, "en"), (53, "a  b\n\n c", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+    pieces = packing.pack(docs).collect()
+    model = packing.Words(packing.tokenizer_path())
+    want = sorted(i + bytes(4) for i in model.encode([t or "" for _, t, _ in rows]))
+    # pieces of a sequence lie side by side; those of a document join to its ids
+    whole, at = [], {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id is None, p.doc_id or 0, p.doc_tokens, p.start)):
+        assert len(p.ids) == 4 * p.length and p.start + p.length <= p.doc_tokens
+        at.setdefault(p.sequence_id, []).append((p.offset, p.length))
+        whole.append(p)
+    for parts in at.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1].tolist()]
+        assert ends[-1] <= 1024 and int(ends[-1]) & int(ends[-1] - 1) == 0
+    by_id = {}
+    for p in whole:
+        by_id.setdefault((p.doc_id, p.start), []).append(bytes(p.ids))
+    assert sum(map(len, want)) == sum(len(p.ids) for p in whole)
+    for d, t, _ in rows:
+        ids, start = model.encode([t or ""])[0] + bytes(4), 0
+        while start < len(ids) // 4:
+            piece = next(x for x in by_id[(d, start)] if ids[4 * start : 4 * start + len(x)] == x)
+            by_id[(d, start)].remove(piece)
+            start += len(piece) // 4
+    assert not any(by_id.values())
+    assert packing.pack(docs.limit(0)).collect() == []
 
 
 def test_fingerprints(spark):
