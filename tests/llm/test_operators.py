@@ -165,6 +165,39 @@ def test_mixing_reaches_targets(spark):
     assert mixing.taken(frame(spark, [])).count() == 0
 
 
+CLASH = ["_source", "_hash", "_copy", "_row", "_blocks", "_text", "_id", "_h", "lines", "_removed", "a.b"]
+
+
+def clashing(spark, texts):
+    docs = frame(spark, texts)
+    return docs.select(*docs.columns, *[F.concat(F.lit(f"{c}-"), F.col("doc_id")).alias(c) for c in CLASH])
+
+
+def test_clashing_names_pass_through(spark):
+    line = " ".join(WORDS[:30])
+    docs = clashing(spark, [line, f"own words of the second one\n{line}", None])
+    out = {r.doc_id: r.asDict() for r in line_dedup(docs).collect()}
+    assert out[0]["text"] == line and out[1]["text"] == "own words of the second one" and out[2]["text"] is None
+    assert all(r[c] == f"{c}-{d}" for d, r in out.items() for c in CLASH)
+    mixed = mixing.mix(clashing(spark, ["a b c"] * 10))
+    assert mixed.columns == [*docs.columns, "_shard", "_position"]
+    rows = mixed.collect()
+    assert len(rows) == 15 and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in CLASH)
+
+
+def test_mixing_meets_blocks_on_equal_keys(spark):
+    docs = frame(spark, ["a b c"] * 40 + ["x y"] * 40, ["a"] * 40 + [None] * 40)
+    for df in (mixing.mix(docs, block_docs=8), mixing.taken(docs, block_docs=8)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join" in x]
+        assert any("_at" in x and "_block" in x for x in joins), joins
+
+
+def test_mixing_takes_as_many_copies_as_asked(spark):
+    rows = mixing.taken(frame(spark, [f"w{i} a b" for i in range(30)]), share=3.0, most=3).collect()
+    assert sum(r.taken for r in rows) == 3 * sum(r["size"] for r in rows) and {r.taken for r in rows} == {9}
+
+
 def test_hypergeometric_has_the_right_mean(spark):
     u = (F.col("id") + 0.5) / 2000
     mean = spark.range(2000).select(F.avg(mixing.hypergeometric(F.lit(30), F.lit(70), F.lit(20), u))).first()[0]

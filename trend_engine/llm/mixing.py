@@ -61,23 +61,26 @@ def targets(sized: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) -> DataFr
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, block_docs=BLOCK_DOCS, shard_words=SHARD_WORDS,
         seed=SEED, text="text", source="source", key="doc_id") -> DataFrame:
-    """The mix: the columns of `docs`, once for each time that a row is drawn, then `_copy` (0 or
-    1), `_shard` and `_position` (order in the shard)."""
+    """The mix: the columns of `docs`, once for each time that a row is drawn, then `_copy` (from 0),
+    `_shard` and `_position` (order in the shard). A column of `docs` with one of these names stays, and
+    the mix's own is left out."""
     _, plan = _plan(docs, weights, share, most, block_docs, shard_words, seed, text, source, key)
-    rows = docs.withColumn("_hash", _name(text, source, key, seed))
-    rows = rows.join(plan, F.col(source).eqNullSafe(F.col("_source")) & _in_block())
-    rows = rows.withColumn("_draw", F.explode(_drawn())).withColumn("_copy", F.col("_draw._copy")) \
-        .withColumn("_shard", F.col("_draw._shard"))
+    # The row travels as one value, so its columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(source).alias("_src"),
+                       _name(text, source, key, seed).alias("_hash"))
+    rows = _with_draws(rows, plan, "inner")
+    rows = rows.withColumn("_draw", F.explode(_drawn())).select("_row", "_hash", "_draw._copy", "_draw._shard")
     order = F.xxhash64(F.lit(seed), "_shard", "_copy", "_hash")
     within = Window.partitionBy("_shard").orderBy(order, "_hash", "_copy")
-    return rows.withColumn("_position", F.row_number().over(within) - 1).select(*docs.columns, "_copy", "_shard", "_position")
+    rows = rows.withColumn("_position", F.row_number().over(within) - 1)
+    return rows.select("_row.*", *[c for c in ("_copy", "_shard", "_position") if c not in docs.columns])
 
 
 def taken(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, block_docs=BLOCK_DOCS, shard_words=SHARD_WORDS,
           seed=SEED, text="text", source="source", key="doc_id") -> DataFrame:
     """Per row of `docs`: doc_id, size, source_size, target, taken and the shards it went to."""
     sized, plan = _plan(docs, weights, share, most, block_docs, shard_words, seed, text, source, key)
-    rows = sized.join(plan, F.col("source").eqNullSafe(F.col("_source")) & _in_block(), "left")
+    rows = _with_draws(sized.withColumn("_src", F.col("source")), plan, "left")
     draws = F.coalesce(_drawn(), F.array())
     return rows.select(F.col("key").alias("doc_id"), "size", F.coalesce("_source_size", F.lit(0)).alias("source_size"),
                        F.coalesce("_target", F.lit(0.0)).alias("target"), (F.col("size") * F.size(draws)).alias("taken"),
@@ -89,8 +92,17 @@ def _name(text, source, key, seed) -> Column:
     return F.xxhash64(F.lit(seed), F.col(key), F.col(source), F.length(F.col(text)), F.col(text))
 
 
-def _in_block() -> Column:
-    return F.pmod(F.xxhash64("_hash"), F.col("_blocks")) == F.col("_block")
+def _block_of() -> Column:
+    return F.pmod(F.xxhash64("_hash"), F.col("_blocks"))
+
+
+def _with_draws(rows: DataFrame, plan: DataFrame, how: str) -> DataFrame:
+    """Rows of (_src, _hash) with their source's figures and their block's draws. The block is made a
+    column first (from the sources' numbers of blocks), so rows and blocks meet on equal keys."""
+    sources = plan.select(F.col("_source").alias("_s"), F.col("_blocks").alias("_bs")).distinct()
+    rows = rows.join(sources, F.col("_src").eqNullSafe(F.col("_s")), how)
+    rows = rows.withColumn("_at", F.pmod(F.xxhash64("_hash"), F.col("_bs"))).drop("_s", "_bs")
+    return rows.join(plan, F.col("_src").eqNullSafe(F.col("_source")) & (F.col("_at") == F.col("_block")), how)
 
 
 def _drawn() -> Column:
@@ -106,10 +118,10 @@ def _plan(docs, weights, share, most, block_docs, shard_words, seed, text, sourc
         F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
         F.greatest(F.lit(1), F.ceil(F.col("docs") / block_docs)).cast("long").alias("_blocks"))
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_hash"), F.col("_blocks")))
+    rows = rows.withColumn("_block", _block_of())
     blocks = rows.groupBy("_source", "_blocks", "_target", "_source_size", "_block").agg(F.sum("size").alias("_words"))
     blocks = table(running_sum(blocks, "_source", ["_block"], "_words", "_before", "mix-blocks"), "mix-blocks")
-    draws = blocks.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))) \
+    draws = blocks.withColumn("_copy", F.explode(F.array(*[F.lit(c) for c in range(math.ceil(most))]))) \
         .withColumn("_room", F.col("_target") - F.col("_before") - F.col("_copy") * F.col("_source_size")) \
         .where("_words > 0 and _room > 0").withColumn("_cut", F.col("_words") > F.col("_room"))
     draws = draws.select("_source", "_block", "_copy", "_room", "_cut", F.lit(1).alias("_one"))
