@@ -46,5 +46,5 @@ def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 QUERIES = {name: _query(name) for name in _MODULES}
 
-ORACLE_SQL = {"op5_licence": licence.SQL, "op11_phrases": sql.PHRASES,
+ORACLE_SQL = {"op5_licence": licence.SQL, "op6_warc": sql.WARC, "op11_phrases": sql.PHRASES,
               "op12_decontaminate": sql.DECONTAMINATE}

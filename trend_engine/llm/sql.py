@@ -59,3 +59,13 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best ANTI JOIN dropped USING (lang, phrase)
 QUALIFY rank <= 2000
 """
+
+WARC = """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+shared AS (SELECT digest, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY digest HAVING count(*) > 1),
+ranked AS (SELECT p.*, s.last, row_number() OVER (PARTITION BY page_id, p.digest ORDER BY r) AS nth FROM p LEFT JOIN shared s USING (digest)),
+told AS (SELECT *, last IS NOT NULL AND (page_id IS DISTINCT FROM last OR nth > 1) AS again FROM ranked)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN last END AS refers_to
+FROM told
+"""
