@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows to learn from, at most; terms in the lexicon, at most (bounds of the fitted model).
-SAMPLE, TERMS = 12_000, 2_000
+#: Labelled rows to learn from, at most (the bound of the fitted model).
+SAMPLE = 12_000
 #: A term stands in so many toxic documents and such a share of them at least, and in so few others
 #: for each of them.
 LEAST, SHARE, CLEAN = 5, 0.01, 0.02
@@ -54,7 +54,7 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def lexicon(rows: DataFrame, least: int = LEAST, share: float = SHARE, clean: float = CLEAN, terms: int = TERMS) -> list[str]:
+def lexicon(rows: DataFrame, least: int = LEAST, share: float = SHARE, clean: float = CLEAN) -> list[str]:
     """Terms of labelled rows (text, toxic) that mark toxic texts; a stem ends in "*"."""
     words = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.btrim(w, F.lit(EDGE))))
     stems = [_stems(F.col("_words"), k) for k in STEMS]
@@ -63,7 +63,8 @@ def lexicon(rows: DataFrame, least: int = LEAST, share: float = SHARE, clean: fl
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
     least = max(least, share * (rows.agg(F.sum("toxic")).first()[0] or 0))
     best = counts.where((F.col("toxic") >= least) & (F.col("other") <= clean * F.col("toxic")))
-    count = {r.term: r.toxic for r in best.orderBy(F.desc("toxic"), "term").limit(terms).collect()}
+    # The thresholds alone decide; a sample's worth of terms reaches the driver.
+    count = {r.term: r.toxic for r in best.orderBy(F.desc("toxic"), "term").collect()}
     return _essential(count)
 
 
