@@ -46,7 +46,7 @@ from trend_engine.llm._text import classes, cut, portions
 LONGEST, LEAST, TOP = 5, 100, 2000
 UNKNOWN = "und"
 #: Words in a shard; shard paths in a prefix range; sampled paths (for bounds only).
-SHARD, RANGE, SAMPLES = 2_000_000, 3_000_000, 100_000
+SHARD, RANGE, SAMPLES = 1_200_000, 2_000_000, 100_000
 #: Bits of the filter per frequent pair, and the largest filter (8 MB).
 BITS, MOST_BITS = 16, 1 << 26
 #: Phrases in a count transducer; parts in a batch.
