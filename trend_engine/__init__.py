@@ -4,7 +4,7 @@ Entry points:
 
 * ``functions``  – column functions (decay score, viral flag, tiers, topics, exact averages, times)
 * ``operators``  – latest-per-key, aggregates, top-k, board, views
-* ``sources``    – items, messages (Kafka/file), the keyed store and its compaction, tables, outputs
+* ``sources``    – items, messages (Kafka/files), keyed tables and the store, roll-ups, catalog, outputs
 * ``streaming``  – the ingest and windowed-topics streams
 * ``plans``      – producer stage, reports and payloads, serving reads, registered queries
 * ``jobs``       – command-line jobs for each pipeline stage
