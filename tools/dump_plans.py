@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-from __spark_entry__ import queries  # noqa: E402
+from trend_engine.plans.registry import QUERIES  # noqa: E402
 from trend_engine.session import build_session  # noqa: E402
 
 
@@ -35,7 +35,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
     out = ["# Physical plans", "", f"Generated by `tools/dump_plans.py` at `{sf_dir}` (AQE initial plans).", ""]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         out += [f"## {name}", "", "```", tree(df), "```", ""]
     with open(__file__.rsplit("/tools/", 1)[0] + "/PLANS.md", "w") as f:
