@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import re
 import sys
 import zlib
 
@@ -124,7 +125,41 @@ def test_line_dedup_keeps_the_first_of_each_group(spark):
     texts = [line + "\nshort", "own line of five words here\n" + line.upper(), None, "", near, "short"]
     out = {r.doc_id: (r.text, r["_removed"]) for r in line_dedup(frame(spark, texts).drop("_size")).collect()}
     assert out[0] == (texts[0], 0) and out[1] == ("own line of five words here", 1)
-    assert out[2] == (None, 0) and out[3] == ("", 0) and out[5] == ("short", 0)
+    assert out[2] == (None, 0) and out[3] == ("", 0) and out[4] == ("", 1) and out[5] == ("", 1)
+
+
+def test_line_dedup_null_ids_repeated_rows_empty(spark):
+    line = " ".join(WORDS[:30])
+    rows = [(None, f"{line}\n\n--"), (1, line), (1, line), (2, f"{line.upper()}!\nok"), (3, "another text, ok?\nok")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted((r.doc_id is not None, r.doc_id or 0, r.text, r["_removed"]) for r in line_dedup(docs).collect())
+    assert out == [(False, 0, f"{line}\n\n--", 0), (True, 1, "", 1), (True, 1, "", 1), (True, 2, "ok", 1), (True, 3, "another text, ok?", 1)]
+    assert line_dedup(docs.limit(0)).collect() == []
+
+
+def test_line_dedup_without_blanks_and_very_long(spark):
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
+    long = " ".join(f"{WORDS[k % 50]}{k % 977}" for k in range(5_000))
+    texts = [han, han[:30] + "一" + han[31:], han[::-1], long, long.replace("0 ", "1 ", 40), " ".join(reversed(long.split(" ")))]
+    out = {r.doc_id: r["_removed"] for r in line_dedup(frame(spark, texts).drop("_size")).collect()}
+    assert [out[i] for i in range(6)] == [0, 1, 0, 0, 1, 0]
+
+
+def test_line_dedup_against_brute_force(spark):
+    """Groups of all pairs of lines that are similar enough, compared pair by pair."""
+    import duckdb
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    norm = lambda x: " ".join(w for w in re.split(r"[\W_]+", x.lower()) if w)
+    nodes = sorted({norm(x) for r in docs.collect() for x in (r.text or "").split("\n")} - {""})
+    lines = spark.createDataFrame(list(enumerate(nodes)), "i long, t string").toPandas()  # noqa: F841
+    links = duckdb.sql("""select a.i, b.i from lines a join lines b on a.i < b.i and greatest(length(a.t), length(b.t)) * 0.9 <= least(length(a.t), length(b.t)) + 1e-6
+                          where levenshtein(a.t, b.t) <= floor(0.1 * greatest(length(a.t), length(b.t)) + 1e-9)""").fetchall()
+    top = list(range(len(nodes)))
+    for a, b in links:
+        x, y = top[a], top[b]
+        top = [min(x, y) if t in (x, y) else t for t in top]
+    left = [norm(x) for r in line_dedup(docs).collect() for x in (r.text or "").split("\n") if norm(x)]
+    assert links and len(left) == len(set(top))
 
 
 def test_line_dedup_finds_one_changed_letter(spark):
@@ -142,13 +177,31 @@ def test_line_dedup_finds_one_changed_letter(spark):
 
 
 def test_line_codes_at_any_length(spark):
-    # One word put in front shifts all others; the lines are just below and above 32,767 words.
-    words = [f"{chr(97 + k % 26)}{k % 977}" for k in range(32_767)]
-    rows = spark.createDataFrame([(0, words), (1, ["z", *words]), (2, words * 3), (3, ["z", *words * 3])], "i int, _words array<string>")
-    codes = {r.i: r.code % 2**64 for r in line_dedup_.coded(rows).collect()}
+    # One word put in front shifts all others; the lines are just below and above 32,767 letters, and far above 32,767 words.
+    words = [f"{chr(97 + k % 26)}{k % 977}" for k in range(7_000)]
+    texts = [words, ["z", *words], words * 6, ["z", *words * 6]]
+    rows = spark.createDataFrame([(i, " ".join(t), len(t)) for i, t in enumerate(texts)], "node long, norm string, words int")
+    codes = {r.node: r.code % 2**64 for r in line_dedup_.coded(rows).collect()}
     assert (codes[0] ^ codes[1]).bit_count() <= 3 and codes[0] == codes[2] and (codes[2] ^ codes[3]).bit_count() <= 3
 
 
+def test_line_pairs_meet_in_blocks(spark):
+    """Lines of 8 to 120 words and copies with a tenth of the words changed, and with one: nine in ten meet in SimHash blocks alone."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(2, 9))))
+    rows = []
+    for k in range(600):
+        words = [word() for _ in range([8, 14, 19, 22, 30, 60, 120][k % 7])]
+        copy = list(words)
+        for at in rng.choice(len(words), max(1, len(words) // 15), replace=False):
+            copy[at] = copy[at][:-1] + "z"
+        rows += [(2 * k, " ".join(words), len(words)), (2 * k + 1, " ".join(copy), len(words))]
+    nodes = spark.createDataFrame(rows, "node long, norm string, words int").withColumn("n", F.length("norm"))
+    keys = line_dedup_.bucket_keys(line_dedup_.coded(nodes).join(nodes.select("node", "n", "words"), "node"), 0.9)
+    met = keys.where("not band").groupBy("key", F.expr("node div 2").alias("pair")).count().where("count > 1").select("pair").distinct().count()
+    assert met >= 0.9 * 600
+
+
 def test_mixing_reaches_targets(spark):
     texts = ["a b c"] * 40 + ["x y"] * 40 + [None, ""] + ["q " * 9] * 40
     source = ["a"] * 40 + ["b"] * 40 + ["b", None] + ["c"] * 40
