@@ -186,7 +186,7 @@ def test_line_codes_at_any_length(spark):
 
 
 def test_line_pairs_meet_in_blocks(spark):
-    """Lines of 8 to 120 words and copies with a tenth of the words changed, and with one: nine in ten meet in SimHash blocks alone."""
+    """Lines of 8 to 120 words and copies with a letter changed in a fifteenth of the words (one at least): nearly all meet."""
     rng = np.random.default_rng(3)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(2, 9))))
     rows = []
@@ -198,8 +198,8 @@ def test_line_pairs_meet_in_blocks(spark):
         rows += [(2 * k, " ".join(words), len(words)), (2 * k + 1, " ".join(copy), len(words))]
     nodes = spark.createDataFrame(rows, "node long, norm string, words int").withColumn("n", F.length("norm"))
     keys = line_dedup_.bucket_keys(line_dedup_.coded(nodes).join(nodes.select("node", "n", "words"), "node"), 0.9)
-    met = keys.where("not band").groupBy("key", F.expr("node div 2").alias("pair")).count().where("count > 1").select("pair").distinct().count()
-    assert met >= 0.9 * 600
+    met = keys.groupBy("key", F.expr("node div 2").alias("pair")).count().where("count > 1").select("pair").distinct().count()
+    assert met >= 0.97 * 600
 
 
 def test_mixing_reaches_targets(spark):
