@@ -2,8 +2,10 @@
 
 import hashlib
 import os
+import re
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -334,3 +336,52 @@ def test_scores_tell_words_of_one_code_apart(spark):
     # Counts 11 and 3: the network gives both the same, their shares of the code the rest.
     assert abs(got[29].log_probability - got[30].log_probability - np.log(11 / 3)) < 1e-3
     assert {got[i].log_probability for i in range(20, 30)} == {got[29].log_probability}
+
+
+def test_whole_scores_against_plain_python(spark):
+    rng = np.random.default_rng(3)
+    texts = [None, "", " \t\n", "Alone", *(" ".join(f"v{int(x)}" for x in rng.zipf(1.3, n) % 3000) for n in rng.integers(1, 400, 60)),
+             "ÉTÉ été\x1fété\u00a0b", "v1 V1\nv2 " * 70_000]
+    texts += [texts[5], texts[5]]
+    docs = frame(spark, texts)
+    words, net, counts = lm_score.fit(docs)
+    cut = [[w for w in re.split(r"[\x20\x09-\x0d\x1c-\x1f]+", (t or "").lower()) if w] for t in texts]
+    n = Counter(w for t in cut for w in t)
+    assert {r.w: r.n for r in counts.collect()} == n
+    assert list(words) == sorted(n, key=lambda w: (-n[w], w.encode()))[: lm_score.SIZE * 3 // 4] and len(n) > len(words)
+    code = {w: i for i, w in enumerate(words)} | {w: len(words) + zlib.crc32(w.encode()) % (lm_score.SIZE - len(words)) for w in n if w not in words}
+    total = Counter()
+    for w in set(n) - set(words):
+        total[code[w]] += n[w]
+    base, pad = lm_score.BASE, lm_score._PAD
+    own = lm_score.scored_by_own(docs).collect()
+    assert sorted(own) == sorted(lm_score.scores(docs, words, net, counts).collect())
+    for r in own:
+        t = cut[r.doc_id]
+        assert r.n_words == len(t)
+        if len(t) > 1000:
+            continue
+        line, want = [pad, pad, *(code[w] for w in t), pad, pad], 0.0
+        for i, w in enumerate(t):
+            h = np.tanh(sum(net["embedding"][line[i + 2 + d]].astype(float) * net["gate"][k] for k, d in enumerate((-2, -1, 1, 2))))
+            x, y = h @ net["high"] + net["high_bias"], h @ net["low"] + net["low_bias"][code[w] // base]
+            want += x[code[w] // base] - np.log(np.exp(x).sum()) + y[code[w] % base] - np.log(np.exp(y).sum())
+            want += 0 if w in words else np.log(n[w] / total[code[w]])
+        assert abs(r.log_probability - want) < 1e-3 + 1e-5 * abs(want), r
+
+
+def test_scores_of_no_rows_and_of_other_words(spark):
+    docs = frame(spark, ["a b a", "c"])
+    assert lm_score.scored_by_own(docs.where("false")).collect() == []
+    words, net, counts = lm_score.fit(docs)
+    (got,) = lm_score.scores(frame(spark, ["new words"]), words, net, counts).collect()
+    assert got.n_words == 2 and got.log_probability < 0
+
+
+def test_the_network_grows_with_the_vocabulary():
+    assert [lm_score.base_for(n) for n in (0, 1000, 1 << 20, (1 << 20) + 1, 10**9)] == [32, 32, 32, 33, 178]
+    net = lm_score.start([3, 2, 1], 5, 40)
+    assert net["embedding"].shape == (1601, lm_score.WIDTH) and np.isclose(np.exp(net["high_bias"]).sum(), 1)
+    line, at = lm_score.windows([[1599, 3], [], [7]], 1600)
+    got = lm_score.log_probabilities(net, line, at)
+    assert got.shape == (3,) and (got < 0).all()
