@@ -212,17 +212,21 @@ def coded(segs: DataFrame, words: tuple[str, ...], counts: DataFrame, base: int)
     then meet in one group, which SEGMENT bounds."""
     spark = segs.sparkSession
     known = F.broadcast(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "w string, own int"))
-    code = F.coalesce("own", _code("w", len(words), base))
     # As many rows as codes that are shared.
-    totals = counts.join(known, "w", "left_anti").groupBy(_code("w", len(words), base).alias("code")).agg(F.sum("n").alias("total"))
-    share = F.when(F.col("own").isNotNull(), 0.0).otherwise(F.log(F.coalesce("n", F.lit(1)) / F.coalesce("total", F.lit(1))))
-    entries = _entries(segs).drop("n").join(counts, "w", "left").join(known, "w", "left").withColumn("code", code)
-    entries = entries.join(F.broadcast(totals), "code", "left").select("seg", "pos", "code", share.alias("share"))
+    sums = counts.join(known, "w", "left_anti").groupBy(_code("w", len(words), base).alias("code")).agg(F.sum("n").alias("total"))
+    totals = np.ones(base * base)
+    for r in sums.collect():
+        totals[r.code] = r.total
+    # Counts, not shares, travel: they are small numbers.
+    times = F.when(F.col("own").isNull(), F.coalesce("n", F.lit(1)))
+    entries = _entries(segs).drop("n").join(counts, "w", "left").join(known, "w", "left")
+    entries = entries.select("seg", "pos", F.coalesce("own", _code("w", len(words), base)).alias("code"), times.alias("n"))
 
     def meet(documents: pa.Table, entries: pa.Table) -> pa.Table:
         pos = entries["pos"].to_numpy()
         own, shares = np.zeros(len(pos), np.int32), np.zeros(len(pos))
-        own[pos], shares[pos] = entries["code"].to_numpy(), entries["share"].to_numpy()
+        own[pos] = entries["code"].to_numpy()
+        shares[pos] = np.nan_to_num(np.log(entries["n"].to_numpy() / totals[entries["code"].to_numpy()]))  # null: a code of its own
         ids = documents["ids"].combine_chunks()
         offsets = ids.offsets.to_numpy()
         offsets, numbers = (offsets - offsets[0]).astype(np.int32), ids.flatten().to_numpy()
