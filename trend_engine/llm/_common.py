@@ -12,14 +12,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 
 
-def table(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back.
+def table(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
+    """Write `df` as Parquet in the shared folder (compressed by `codec`, else as the session says) and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of the files, never a recomputation.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -72,7 +72,7 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     kind = docs.select(key).schema[0].dataType.simpleString()
     rows = docs.select(key, F.lower(F.col(text).cast("string")))
-    return table(rows.mapInArrow(run, f"seg long, key {kind}, ids array<int>, words array<string>, counts array<long>"), "lm-segments")
+    return table(rows.mapInArrow(run, f"seg long, key {kind}, ids array<int>, words array<string>, counts array<long>"), "lm-segments", "zstd")
 
 
 def _entries(segs: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def _entries(segs: DataFrame) -> DataFrame:
 
 def word_counts(segs: DataFrame) -> DataFrame:
     """w, n: the count of every word of all texts, as a written table."""
-    return table(_entries(segs).groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+    return table(_entries(segs).groupBy("w").agg(F.sum("n").alias("n")), "lm-words", "zstd")
 
 
 def base_for(distinct: int) -> int:
@@ -237,7 +237,7 @@ def coded(segs: DataFrame, words: tuple[str, ...], counts: DataFrame, base: int)
 
     kind = segs.schema["key"].dataType.simpleString()
     documents = segs.where("ids is not null").select(F.col("seg").alias("of"), "key", "ids")
-    return table(documents.groupBy("of").cogroup(entries.groupBy("seg")).applyInArrow(meet, f"key {kind}, codes array<int>, within double"), "lm-codes")
+    return table(documents.groupBy("of").cogroup(entries.groupBy("seg")).applyInArrow(meet, f"key {kind}, codes array<int>, within double"), "lm-codes", "zstd")
 
 
 def _held(codes: pa.ListArray, pad: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
