@@ -385,3 +385,17 @@ def test_the_network_grows_with_the_vocabulary():
     line, at = lm_score.windows([[1599, 3], [], [7]], 1600)
     got = lm_score.log_probabilities(net, line, at)
     assert got.shape == (3,) and (got < 0).all()
+
+
+def test_word_numbers_travel_as_one_value_per_document(spark):
+    rows = [[], [1, 255, 256, 2**31 - 1], [], [70_000], list(range(0, 2**24, 54_321)), []]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    values = lm_score.packed(np.array([x for r in rows for x in r]), offsets)
+    assert [len(v) for v in values.to_pylist()] == [4 * len(r) for r in rows]
+    for a, b in ((0, 6), (1, 4), (2, 3), (5, 6), (3, 3)):
+        numbers, ends = lm_score.unpacked(values.slice(a, b - a))
+        assert numbers.tolist() == [x for r in rows[a:b] for x in r] and ends.tolist() == (offsets[a : b + 1] - offsets[a]).tolist()
+    segs = lm_score.segments(frame(spark, ["b a b", None, ""]))
+    assert dict(segs.dtypes)["ids"] == "binary"
+    words = {w: n for r in segs.where("words is not null").collect() for w, n in zip(r.words, r["counts"])}
+    assert words == {"a": 1, "b": 2} and segs.where("ids is not null").count() == 3

@@ -28,6 +28,7 @@ order differ in their last digits: scores are rounded.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -50,6 +51,25 @@ _PAD = SIZE  # the code beyond a text's ends
 _KINDS = classes(b"\x20\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f")
 
 
+def packed(numbers: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """One binary value per row: its numbers' lowest bytes, then the next ones and so on, which compress
+    well and pass through Spark as one value each."""
+    raw = numbers.astype("<i4").view(np.uint8).reshape(-1, 4)
+    return pa.array([raw[a:b].T.tobytes() for a, b in itertools.pairwise(offsets.tolist())], pa.binary())
+
+
+def unpacked(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, offsets) of `packed` rows."""
+    bounds = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1].astype(np.int64) if len(rows) else np.zeros(1, np.int64)
+    offsets = (bounds - bounds[0]) // 4
+    out = np.empty((offsets[-1], 4), np.uint8)
+    if len(out):
+        raw = np.frombuffer(rows.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        for a, b in itertools.pairwise(offsets.tolist()):
+            out[a:b] = raw[4 * a : 4 * b].reshape(4, -1).T
+    return out.reshape(-1).view("<i4"), offsets
+
+
 def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Every document's words as numbers (seg, key, ids), and one row per segment with the words behind the
     numbers and how often each occurs (seg, words, counts), as one written table."""
@@ -59,8 +79,8 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
             keys, texts = part.columns
             ids, words, row, _ = cut(texts, _KINDS)
             n = len(texts)
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)
-            numbers = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))])
+            numbers = packed(ids, offsets)
             names = ["seg", "key", "ids", "words", "counts"]
             strings, longs = pa.list_(pa.string()), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, seg)), keys, numbers, pa.nulls(n, strings), pa.nulls(n, longs)], names=names)
@@ -72,7 +92,7 @@ def segments(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     kind = docs.select(key).schema[0].dataType.simpleString()
     rows = docs.select(key, F.lower(F.col(text).cast("string")))
-    return table(rows.mapInArrow(run, f"seg long, key {kind}, ids array<int>, words array<string>, counts array<long>"), "lm-segments", "zstd")
+    return table(rows.mapInArrow(run, f"seg long, key {kind}, ids binary, words array<string>, counts array<long>"), "lm-segments", "zstd")
 
 
 def _entries(segs: DataFrame) -> DataFrame:
@@ -125,8 +145,11 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(np.clip(x, -60, 60))  # within the range of single precision
-    return e / (e @ np.ones((x.shape[1], 1), x.dtype))
+    """In place of `x`."""
+    np.clip(x, -60, 60, out=x)  # within the range of single precision
+    np.exp(x, out=x)
+    x /= x @ np.ones((x.shape[1], 1), x.dtype)
+    return x
 
 
 def laid_out(codes: np.ndarray, lengths: np.ndarray, pad: int = _PAD) -> tuple[np.ndarray, np.ndarray]:
@@ -156,16 +179,16 @@ _AWAY = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 
 def _forward(net, line, at):
     """Hidden layer, digits of the words, probabilities of the digits."""
-    # Every code's embedding under every gate, looked up once per word and added up by shifts.
-    gated = (net["embedding"][:, None, :] * net["gate"]).reshape(len(net["embedding"]), -1)[line]
-    total = np.zeros((len(line) - 2 * SIDE, WIDTH), np.float32)
+    # Every code's embedding under every gate, looked up per neighbour and added up.
+    total = np.zeros((len(at), WIDTH), np.float32)
     for k, d in enumerate(_AWAY):
-        total += gated[SIDE + d : len(line) - SIDE + d, k * WIDTH : (k + 1) * WIDTH]
-    h = np.tanh(total[at - SIDE])
+        total += np.take(net["embedding"] * net["gate"][k], line[at + d], axis=0)
+    h = np.tanh(total, out=total)
     high, low = np.divmod(line[at].astype(np.intp), net["high"].shape[1])
-    p = _softmax(h @ net["high"] + net["high_bias"])
-    q = _softmax(h @ net["low"] + net["low_bias"][high])
-    return h, high, low, p, q
+    p, q = h @ net["high"], h @ net["low"]
+    p += net["high_bias"]
+    q += np.take(net["low_bias"], high, axis=0)
+    return h, high, low, _softmax(p), _softmax(q)
 
 
 def log_probabilities(net: dict, line: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -186,13 +209,16 @@ def _by_code(line: np.ndarray, at: np.ndarray, back: np.ndarray, codes: int) ->
 
 def train(net: dict, past: dict, line: np.ndarray, at: np.ndarray) -> None:
     """One Adagrad step on a batch of words; changes `net` and the sums of squares in `past`."""
-    n = np.float32(len(at))
+    n, rows = np.float32(len(at)), np.arange(len(at))
     h, high, low, p, q = _forward(net, line, at)
-    digits = np.eye(net["high"].shape[1], dtype=np.float32)
-    ones = digits[high]
-    p = (p - ones) / n
-    q = (q - digits[low]) / n
-    back = (p @ net["high"].T + q @ net["low"].T) * (1 - h * h)
+    ones = np.take(np.eye(net["high"].shape[1], dtype=np.float32), high, axis=0)
+    p[rows, high] -= 1
+    q[rows, low] -= 1
+    p /= n
+    q /= n
+    back = p @ net["high"].T
+    back += q @ net["low"].T
+    back *= 1 - h * h
     codes = _by_code(line, at, back, len(net["embedding"]))
     grads = {"high": h.T @ p, "low": h.T @ q, "high_bias": p.sum(0), "low_bias": ones.T @ q,
              "gate": (codes * net["embedding"][:, None, :]).sum(0), "embedding": (codes * net["gate"]).sum(1)}
@@ -227,23 +253,20 @@ def coded(segs: DataFrame, words: tuple[str, ...], counts: DataFrame, base: int)
         own, shares = np.zeros(len(pos), np.int32), np.zeros(len(pos))
         own[pos] = entries["code"].to_numpy()
         shares[pos] = np.nan_to_num(np.log(entries["n"].to_numpy() / totals[entries["code"].to_numpy()]))  # null: a code of its own
-        ids = documents["ids"].combine_chunks()
-        offsets = ids.offsets.to_numpy()
-        offsets, numbers = (offsets - offsets[0]).astype(np.int32), ids.flatten().to_numpy()
-        rows = np.repeat(np.arange(len(ids)), np.diff(offsets))
-        within = np.bincount(rows, shares[numbers], len(ids)) if len(ids) else np.zeros(0)
-        return pa.table([documents["key"], pa.ListArray.from_arrays(offsets, pa.array(own[numbers])), pa.array(within, pa.float64())],
-                        names=["key", "codes", "within"])
+        numbers, offsets = unpacked(documents["ids"].combine_chunks())
+        n = documents.num_rows
+        rows = np.repeat(np.arange(n), np.diff(offsets))
+        within = np.bincount(rows, shares[numbers], n) if n else np.zeros(0)
+        return pa.table([documents["key"], packed(own[numbers], offsets), pa.array(within, pa.float64())], names=["key", "codes", "within"])
 
     kind = segs.schema["key"].dataType.simpleString()
     documents = segs.where("ids is not null").select(F.col("seg").alias("of"), "key", "ids")
-    return table(documents.groupBy("of").cogroup(entries.groupBy("seg")).applyInArrow(meet, f"key {kind}, codes array<int>, within double"), "lm-codes", "zstd")
+    return table(documents.groupBy("of").cogroup(entries.groupBy("seg")).applyInArrow(meet, f"key {kind}, codes binary, within double"), "lm-codes", "zstd")
 
 
-def _held(codes: pa.ListArray, pad: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _held(codes: pa.Array, pad: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(lengths, line, at) of some documents at a time: _HELD words, or one document."""
-    offsets = codes.offsets.to_numpy().astype(np.int64)
-    values, a = codes.values.to_numpy(), 0
+    (values, offsets), a = unpacked(codes), 0
     while a < len(codes):
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _HELD, "right")) - 1)
         yield np.diff(offsets[a : b + 1]), *laid_out(values[offsets[a] : offsets[b]], np.diff(offsets[a : b + 1]), pad)
