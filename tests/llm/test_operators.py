@@ -151,6 +151,36 @@ def test_line_codes_at_any_length(spark):
     assert (codes[0] ^ codes[1]).bit_count() <= 3 and codes[0] == codes[2] and (codes[2] ^ codes[3]).bit_count() <= 3
 
 
+def test_line_keys_move_packed_and_none_is_lost(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(n), int(k)) for n, k in {(n, k) for n, k in zip(rng.integers(0, 900, 4000), rng.integers(-2**63, 2**63, 4000))}]
+    rows += [(901, rows[0][1]), (902, rows[0][1]), (903, rows[1][1]), (901, rows[2][1] | 1), (902, rows[2][1] | 1), (7, 2**63 - 1), (8, 2**63 - 1), (7, -2), (8, -2)]
+    shared = line_dedup_.shared_keys(spark.createDataFrame(rows, "number long, key long"), 10)
+    got = {}
+    for r in shared.collect():
+        got.setdefault((r.range, r.key, r.band), []).append(r.number)
+    want = {}
+    for n, k in set(rows):
+        want.setdefault(k, []).append(n)
+    assert sorted((b, sorted(v)) for (_, _, b), v in got.items()) == sorted((k % 2 == 1, sorted(v)) for k, v in want.items() if len(v) > 1)
+    # Before the keys move, those of a range are one row.
+    plan = shared._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_collect_list" in plan[plan.index("Exchange"):]
+
+
+def test_line_dedup_finds_letters_changed_all_over_short_lines(spark):
+    # Lines of 6 to 9 words, each followed by a copy with one letter to a tenth of them changed.
+    rng = np.random.default_rng(9)
+    texts = []
+    for n in [6, 7, 8, 9] * 75:
+        line = " ".join("".join(rng.choice(list("abcdefghij"), int(rng.integers(4, 9)))) for _ in range(n))
+        at = rng.choice([i for i, c in enumerate(line) if c != " "], int(rng.integers(1, len(line) // 10 + 1)), replace=False)
+        texts += [line, "".join("z" if i in at else c for i, c in enumerate(line))]
+    out = {r.doc_id: r["_removed"] for r in line_dedup(frame(spark, texts).drop("_size")).collect()}
+    assert sum(out[i] for i in range(0, len(texts), 2)) == 0
+    assert sum(out[i] for i in range(1, len(texts), 2)) >= 0.85 * len(texts) / 2
+
+
 def test_mixing_reaches_targets(spark):
     texts = ["a b c"] * 40 + ["x y"] * 40 + [None, ""] + ["q " * 9] * 40
     source = ["a"] * 40 + ["b"] * 40 + ["b", None] + ["c"] * 40
