@@ -181,6 +181,19 @@ def test_line_dedup_finds_letters_changed_all_over_short_lines(spark):
     assert sum(out[i] for i in range(1, len(texts), 2)) >= 0.85 * len(texts) / 2
 
 
+def test_line_dedup_with_rows_that_come_twice(spark):
+    # Lines of 10 words; the documents of every other copy with a changed word come three times.
+    rng = np.random.default_rng(10)
+    texts = []
+    for _ in range(12):
+        words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(10)]
+        texts += [" ".join(words), " ".join([*words[:-1], words[-1][:3] + "xyz"])]
+    docs = frame(spark, texts).drop("_size")
+    docs = docs.unionByName(docs.where("doc_id % 4 = 1")).unionByName(docs.where("doc_id % 4 = 1"))
+    out = [(r.doc_id, r["_removed"]) for r in line_dedup(docs).collect()]
+    assert sorted(out) == sorted((i, i % 2) for i in range(24) for _ in range(3 if i % 4 == 1 else 1))
+
+
 def test_mixing_reaches_targets(spark):
     texts = ["a b c"] * 40 + ["x y"] * 40 + [None, ""] + ["q " * 9] * 40
     source = ["a"] * 40 + ["b"] * 40 + ["b", None] + ["c"] * 40
