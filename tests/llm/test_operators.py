@@ -194,6 +194,55 @@ def test_line_dedup_with_rows_that_come_twice(spark):
     assert sorted(out) == sorted((i, i % 2) for i in range(24) for _ in range(3 if i % 4 == 1 else 1))
 
 
+def test_line_hashes_are_the_same_in_small_counters(spark):
+    rng = np.random.default_rng(11)
+    lines = [[f"{chr(97 + k % 26)}{k}" for k in rng.integers(0, 900, n)] for n in (1, 5, 13, 64, 510, 511)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, _words array<string>")
+    small = {r.i: r.code for r in line_dedup_.briefly_coded(rows).collect()}
+    assert small == {r.i: r.code for r in line_dedup_.coded(rows, 0).collect()} and len(small) == len(lines)
+
+
+def test_long_lines_have_few_keys_and_share_one_with_their_copies(spark):
+    # Lines of 17 to 400 words; the copies have a word more in front, a word less at the end, or a letter in fifty changed.
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(60):
+        line = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 9)))) for _ in range(int(rng.choice([17, 30, 90, 400])))]
+        letters = ["".join("z" if rng.random() < 0.02 else c for c in w) for w in line]
+        rows += [(4 * i + k, len(w), w) for k, w in enumerate((line, ["new", *line], line[:-1], letters))]
+    lines = spark.createDataFrame(rows, "number long, words int, _words array<string>")
+    keys = {}
+    for r in line_dedup_.shingle_keys(lines).collect():
+        keys.setdefault(r.number, set()).add(r.key)
+    assert all(keys[4 * i] & keys[4 * i + k] for i in range(60) for k in (1, 2, 3))
+    assert sum(map(len, keys.values())) / len(rows) < 30
+
+
+def test_edit_similarity_against_brute_force(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = np.random.default_rng(13)
+    names, rows = ["ab", "a", "abc", "ba", "cab", "é"], []
+    for i in range(600):
+        one = [str(w) for w in rng.choice(names, int(rng.integers(1, 12)))]
+        other = list(one)
+        for _ in range(int(rng.integers(0, 4))):
+            at, what = int(rng.integers(len(other) + 1)), int(rng.integers(3))
+            other[at:at + (what < 2)] = [str(rng.choice(names))] if what else []
+        rows.append((i, " ".join(one), " ".join(other)))
+    rows = [r for r in rows if r[2]]
+    pairs = spark.createDataFrame(rows, "i int, x string, y string")
+    for similarity in (0.9, 0.7):
+        want = {i for i, x, y in rows if distance(x, y) <= int((1 - similarity) * max(len(x), len(y)) + 1e-9)}
+        assert {r.i for r in line_dedup_.edit_similar(pairs, "x", "y", similarity).collect()} == want and want
+
+
 def test_mixing_reaches_targets(spark):
     texts = ["a b c"] * 40 + ["x y"] * 40 + [None, ""] + ["q " * 9] * 40
     source = ["a"] * 40 + ["b"] * 40 + ["b", None] + ["c"] * 40
@@ -249,6 +298,13 @@ def test_hypergeometric_has_the_right_mean(spark):
     assert abs(mean - 6.0) < 0.05
 
 
+def test_hypergeometric_stands_in_a_plan_of_bounded_size(spark):
+    # Each intermediate value stands there once; the plans of the splitting tree had filled the driver's memory.
+    u = (F.col("id") + 0.5) / 2000
+    df = spark.range(2000).select(mixing.hypergeometric(F.col("id"), F.col("id") + 1, F.col("id") + 2, u).alias("n"))
+    assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
 def test_packing_round_trip():
     lengths = np.random.default_rng(0).integers(1, 3000, 500)
     doc, start, size, seq, offset = packing.assign(lengths)

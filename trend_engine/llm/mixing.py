@@ -22,6 +22,7 @@ columns of any name pass through (helper columns start with an underscore).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,26 +208,41 @@ def _hypergeometric_share(seed: int) -> Column:
     def step(acc, x):
         uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col("_lo"), F.col("_hi"), x["s"]), F.lit(1 << 52)) + 0.5) / float(1 << 52)
         got = hypergeometric(x["n"], acc["rest"] - x["n"], acc["left"], uniform)
-        return F.struct((acc["left"] - got).alias("left"), (acc["rest"] - x["n"]).alias("rest"),
-                        F.concat(acc["drawn"], F.array(got)).alias("drawn"))
+        return _let(got, lambda n: F.struct((acc["left"] - n).alias("left"), (acc["rest"] - x["n"]).alias("rest"),
+                                            F.concat(acc["drawn"], F.array(n)).alias("drawn")))
 
     return F.when(F.col("_left").isNotNull(), F.aggregate("_share", start, step, lambda acc: acc["drawn"]))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of the value, which stands in the plan once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def log_factorial(x: Column) -> Column:
     """ln x! by Stirling's series (from x + 8 on, errors below 1e-9)."""
-    y = x + 8.0
-    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) \
-        + 1 / (1260 * F.pow(y, F.lit(5)))
-    low = F.lit(0.0)
-    for k in range(1, 8):
-        low = low + F.log(x + float(k))
-    return series - low
+    def body(x):
+        y = x + 8.0
+        series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) \
+            + 1 / (1260 * F.pow(y, F.lit(5)))
+        low = F.lit(0.0)
+        for k in range(1, 8):
+            low = low + F.log(x + float(k))
+        return series - low
+
+    return _let(x, body)
 
 
 def hypergeometric(good: Column, bad: Column, drawn: Column, uniform: Column) -> Column:
     """A hypergeometric number by inversion: `drawn` of `good + bad` without replacement, how many
     are good. Walks up from ten standard deviations (and ten) below the mean, or the lowest value."""
+    given = F.struct(good.alias("good"), bad.alias("bad"), drawn.alias("drawn"), uniform.alias("uniform"))
+    return _let(given, lambda g: _let(_limits(g["good"], g["bad"], g["drawn"]), lambda at: _walked(
+        g["good"], g["bad"], g["drawn"], g["uniform"], at["low"], at["high"], at["highest"])))
+
+
+def _limits(good: Column, bad: Column, drawn: Column) -> Column:
+    """The highest number there can be, and where the walk begins and ends."""
     lowest = F.greatest(F.lit(0), drawn - bad)
     highest = F.least(good, drawn)
     total = F.greatest(good + bad, F.lit(1)).cast("double")
@@ -234,14 +250,18 @@ def hypergeometric(good: Column, bad: Column, drawn: Column, uniform: Column) ->
     spread = F.sqrt(F.greatest(F.lit(0.0), mean * (bad / total) * ((total - drawn) / F.greatest(total - 1, F.lit(1.0)))))
     low = F.greatest(lowest, F.floor(mean - 10 * spread - 10)).cast("long")
     high = F.least(highest, F.ceil(mean + 10 * spread + 10)).cast("long")
+    return F.struct(low.alias("low"), high.alias("high"), highest.alias("highest"))
+
+
+def _walked(good: Column, bad: Column, drawn: Column, uniform: Column, low: Column, high: Column, highest: Column) -> Column:
     choose = lambda n, k: log_factorial(n) - log_factorial(k) - log_factorial(n - k)
     first = F.exp(choose(good, low) + choose(bad, drawn - low) - choose(good + bad, drawn))
-    start = F.struct(low.alias("x"), first.alias("p"), first.alias("sum"))
+    start = _let(first, lambda p: F.struct(low.alias("x"), p.alias("p"), p.alias("sum")))
 
     def step(acc, k):
         x = acc["x"]
         p = acc["p"] * ((good - x) * 1.0) * (drawn - x) / ((x + 1.0) * (bad - drawn + x + 1))
-        return F.when(acc["sum"] >= uniform, acc).otherwise(F.struct((x + 1).alias("x"), p.alias("p"), (acc["sum"] + p).alias("sum")))
+        return F.when(acc["sum"] >= uniform, acc).otherwise(_let(p, lambda p: F.struct((x + 1).alias("x"), p.alias("p"), (acc["sum"] + p).alias("sum"))))
 
     walked = F.aggregate(F.sequence(low + 1, high), start, step, lambda acc: acc["x"])
     return F.when(low >= high, highest.cast("long")).otherwise(walked)
