@@ -1,9 +1,11 @@
 """Operators of trend_engine.llm against brute force, on small frames with awkward rows."""
 
+import gc
 import hashlib
 import os
 import re
 import sys
+import weakref
 import zlib
 from collections import Counter
 
@@ -321,6 +323,16 @@ def test_packing_round_trip():
         assert (start[at][order] == np.cumsum(n) - n).all()
 
 
+def test_a_process_holds_one_operators_table():
+    words = packing._words_of(packing.tokenizer_path())
+    assert packing._words_of(packing.tokenizer_path()) is words
+    gone = weakref.ref(words)
+    del words
+    assert toxicity._matcher(("ab",)) is toxicity._matcher(("ab",))
+    gc.collect()
+    assert gone() is None
+
+
 def test_word_table_gives_the_tokenizers_ids():
     words = packing.Words(packing.tokenizer_path())
     texts = ["", " a", "a  b   c\n\n d\t x", "x\n y \n\nz ", "it's 'sx a 's", "<|endoftext|>", "é ü b\x1cb", "a\0b c", "the cat.\nThe end!!"]

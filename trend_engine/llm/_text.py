@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+_held: dict[tuple[str, Hashable], Any] = {}
+
+
+def held(owner: str, key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a task of `owner` leaves to the next ones in its process. Only the last owner's and key's is held: Spark's
+    Python workers go on with the tasks of other operators, which would have its memory beside their own."""
+    if (owner, key) not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[owner, key] = make()
+    return _held[owner, key]
+
+
 def classes(gaps: bytes, breaks: bytes = b"") -> np.ndarray:
     """The class of every byte value; bytes of multi-byte letters are parts of words."""
     out = np.full(256, IN, np.uint8)

@@ -21,7 +21,6 @@ is read.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 from collections.abc import Iterator
@@ -32,12 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trend_engine.llm._text import portions
+from trend_engine.llm._text import held, portions
 
 #: Tokens of a sequence, tokens of a group, end of a document.
 LENGTH, GROUP, END = 1024, 1 << 20, 0
 #: Bytes of text that are tokenised at once.
-PORTION = 1 << 24
+PORTION = 1 << 23
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 #: A word with or without one blank before it, nothing else.
 _PIECE = re.compile(r" ?\S+\Z")
@@ -55,7 +54,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Words(dict):
     """Blank-led words -> their ids as bytes (little-endian 32 bit); fills itself, a full table is emptied."""
 
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -133,9 +132,8 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pieces, np.searchsorted(at, offsets), direct
 
 
-@functools.lru_cache(maxsize=1)
 def _words_of(path: str) -> Words:
-    return Words(path)
+    return held("packing", path, lambda: Words(path))
 
 
 def assign(lengths: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:

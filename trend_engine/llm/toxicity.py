@@ -22,7 +22,6 @@ weights hold; extra columns are not read.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trend_engine.llm._text import held
+
 #: Labelled rows to learn from, at most (the bound of the fitted model).
 SAMPLE = 12_000
 #: A term stands in so many toxic documents and such a share of them at least, and in so few others
@@ -96,10 +97,9 @@ def _stems(words: Column, k: int) -> Column:
     return F.transform(F.filter(words, lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
 
 
-@functools.lru_cache(maxsize=2)
 def _matcher(terms: tuple[str, ...]) -> Matcher:
     """A worker keeps the automaton that it has built so far for its next tasks."""
-    return Matcher(list(terms))
+    return held("toxicity", terms, lambda: Matcher(list(terms)))
 
 
 class Matcher(dict):
